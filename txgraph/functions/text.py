@@ -8,7 +8,8 @@ from txgraph.functions.scalars import action_text
 
 
 def _percent(column: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f%%", F.lit(100.0) * column)
+    # Half-even first: the formatter alone would round 62.5 up.
+    return F.format_string(f"%.{digits}f%%", F.bround(F.lit(100.0) * column, digits))
 
 
 def _line(label: str, value: Column) -> Column:

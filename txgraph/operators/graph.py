@@ -28,6 +28,18 @@ def with_hourly_graph(tx: DataFrame) -> DataFrame:
     return tx.withColumn("graph_id", hour_start(F.col("event_time")))
 
 
+def with_window_graph(tx: DataFrame, minutes: int) -> DataFrame:
+    """Tumbling windows of any length, aligned to the epoch."""
+    length = minutes * 60
+    start = F.floor(F.unix_timestamp("event_time") / length) * length
+    return tx.withColumn("graph_id", start.cast("bigint"))
+
+
+def with_weekly_graph(tx: DataFrame) -> DataFrame:
+    """One graph per calendar week."""
+    return tx.withColumn("graph_id", F.unix_timestamp(F.date_trunc("week", "event_time")))
+
+
 def edge_table(tx: DataFrame, first_seen: bool = False) -> DataFrame:
     """Undirected account-device and account-merchant edges with count and amount.
 
