@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions as F
 
 from txgraph.functions.scalars import hour_start, micros, node_key
 from txgraph.operators.prefix import running
@@ -20,6 +20,9 @@ from txgraph.session import MAX_BROADCAST_ROWS, freeze, session_conf
 # Smallest degree at which a node is treated as a hub in message passing.
 HUB_MIN_DEGREE = 100_000
 
+# Largest graph that may be handled as one group inside a task (dense matrices of 2 MB).
+KERNEL_NODES = 512
+
 _SIDES = (("device", "device_id"), ("merchant", "merchant_id"))
 
 
@@ -165,6 +168,19 @@ class TxGraph:
         """A one-row-per-graph table, broadcast if the number of graphs is within bounds."""
         return F.broadcast(table) if self.n_graphs <= MAX_BROADCAST_ROWS else table
 
+    def split_by_size(self, limit: int) -> tuple[DataFrame | None, DataFrame | None]:
+        """Graphs of at most ``limit`` nodes, and the larger ones; None where there are none."""
+        small = self.graphs.where(F.col("size") <= limit).select("graph_id", "size")
+        large = self.graphs.where(F.col("size") > limit).select("graph_id", "size")
+        n_small = small.count()
+        return (small if n_small else None), (large if n_small < self.n_graphs else None)
+
+    def small_groups(self, small: DataFrame) -> GroupedData:
+        """Arcs of graphs of bounded size, grouped so that each graph is one small group."""
+        arcs = self.arcs if self.hub_arcs is None else self.arcs.unionByName(self.hub_arcs)
+        rows = arcs.where("not own").join(self.per_graph(small), "graph_id")
+        return rows.select("graph_id", "src", "dst", "weight", "size").groupBy("graph_id")
+
     def rounds(self):
         """Settings for iterative plans: the layout is fixed, so re-planning only costs."""
         return session_conf(self.spark, spark__sql__adaptive__enabled="false")
@@ -174,6 +190,10 @@ class TxGraph:
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return arcs.repartition(parts, "graph_id", "src").persist(StorageLevel.MEMORY_AND_DISK)
 
+    def spread(self, arcs: DataFrame) -> DataFrame:
+        """Deal rows out evenly, whatever node they leave."""
+        return arcs.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
     def send(
         self,
         state: DataFrame,
@@ -308,7 +328,7 @@ def build_graph(
         busy=busy,
     )
     if hubs is not None:
-        graph.hub_arcs = frozen.filter("hub").drop("hub").repartition()
+        graph.hub_arcs = freeze(graph.spread(frozen.filter("hub").drop("hub")))
     graph.arcs = graph.place(frozen.filter("not hub").drop("hub"))
     graph.vertices = freeze(
         sized.join(graph.per_graph(graphs.select("graph_id", "size")), "graph_id")
