@@ -11,6 +11,7 @@ from txgraph.operators.graph import TxGraph, build_graph, edge_table, endpoint_t
 from txgraph.operators.pagerank import pagerank
 from txgraph.operators.skew import lookup_join
 from txgraph.schema import ALL_FEATURES, GRAPH_FEATURES, INTEGER_GRAPH_FEATURES
+from txgraph.session import freeze
 
 KEYS = {"account": "account_id", "device": "device_id", "merchant": "merchant_id"}
 
@@ -139,7 +140,9 @@ def graph_features(
 ) -> DataFrame:
     """The 15 graph features of ``tx`` on the graphs of ``window_tx`` (default: ``tx``)."""
     graph = graph or build_graph(tx if window_tx is None else window_tx)
-    return assemble_graph_features(tx, node_metrics(graph, **metric_args), graph.busy)
+    # Three look-ups read the metrics, so they are computed once.
+    metrics = freeze(node_metrics(graph, **metric_args))
+    return assemble_graph_features(tx, metrics, graph.busy)
 
 
 def degree_features(tx: DataFrame) -> DataFrame:

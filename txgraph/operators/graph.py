@@ -179,7 +179,10 @@ class TxGraph:
         """Arcs of graphs of bounded size, grouped so that each graph is one small group."""
         arcs = self.arcs if self.hub_arcs is None else self.arcs.unionByName(self.hub_arcs)
         rows = arcs.where("not own").join(self.per_graph(small), "graph_id")
-        return rows.select("graph_id", "src", "dst", "weight", "size").groupBy("graph_id")
+        # The work per row is heavy: a set number of partitions is not merged by size.
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.select("graph_id", "src", "dst", "weight", "size")
+        return rows.repartition(parts, "graph_id").groupBy("graph_id")
 
     def rounds(self):
         """Settings for iterative plans: the layout is fixed, so re-planning only costs."""

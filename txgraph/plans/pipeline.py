@@ -11,7 +11,13 @@ from txgraph.ml.score import score_transactions
 from txgraph.ml.train import TrainResult, train_model
 from txgraph.operators.batches import batch_progress, batch_windows, first_occurrence, micro_batches, window_members
 from txgraph.operators.drift import psi
-from txgraph.operators.features import assemble_graph_features, feature_matrix, node_metrics, with_labels
+from txgraph.operators.features import (
+    assemble_graph_features,
+    feature_matrix,
+    graph_features,
+    node_metrics,
+    with_labels,
+)
 from txgraph.operators.graph import build_graph, with_hourly_graph, with_weekly_graph
 from txgraph.operators.investigate import alerts, investigate
 from txgraph.operators.metrics import run_metrics, top_importance
@@ -118,7 +124,7 @@ def notebook_analysis(tx: DataFrame, params: ModelParams = ModelParams()) -> dic
     """Profile, hourly graph features, class separation, busiest-hour rings, models."""
     hourly = with_hourly_graph(tx)
     graph = build_graph(hourly)
-    features = freeze(assemble_graph_features(hourly, node_metrics(graph), graph.busy))
+    features = freeze(graph_features(hourly, graph=graph))
     labelled = freeze(with_labels(feature_matrix(hourly, features), hourly))
     top = busiest_graph(hourly.groupBy("graph_id").agg(F.count("*").alias("n_tx")))
     busiest = hourly.join(top.select("graph_id"), "graph_id", "left_semi")
