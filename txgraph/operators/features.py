@@ -7,9 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from txgraph.functions.scalars import channel_code, tx_type_code
 from txgraph.operators.betweenness import betweenness
 from txgraph.operators.components import component_sizes, connected_components
-from txgraph.operators.graph import TxGraph, build_graph, edge_table, endpoint_table
+from txgraph.operators.graph import (
+    TxGraph,
+    build_graph,
+    busy_nodes,
+    edge_table,
+    endpoint_table,
+)
 from txgraph.operators.pagerank import pagerank
-from txgraph.operators.skew import lookup_join
+from txgraph.operators.skew import HEAVY_MIN, lookup_join
 from txgraph.schema import ALL_FEATURES, GRAPH_FEATURES, INTEGER_GRAPH_FEATURES
 from txgraph.session import freeze
 
@@ -33,7 +39,9 @@ def velocity(tx: DataFrame) -> DataFrame:
     return tx.groupBy("graph_id", "account_id").agg(F.count("*").alias("velocity_ring_score"))
 
 
-def node_metrics(graph: TxGraph, pagerank_args: dict | None = None, betweenness_args: dict | None = None) -> DataFrame:
+def node_metrics(
+    graph: TxGraph, pagerank_args: dict | None = None, betweenness_args: dict | None = None
+) -> DataFrame:
     """Degree, PageRank, betweenness and component size of every node."""
     ranks = pagerank(graph, **(pagerank_args or {}))
     between = betweenness(graph, **(betweenness_args or {}))
@@ -145,13 +153,14 @@ def graph_features(
     return assemble_graph_features(tx, metrics, graph.busy)
 
 
-def degree_features(tx: DataFrame) -> DataFrame:
+def degree_features(tx: DataFrame, busy_min_rows: int = HEAVY_MIN) -> DataFrame:
     """The features that need no iteration, straight from the edge table.
 
     Columns: graph_id, tx_id, account_degree, device_degree, merchant_degree,
     velocity_ring_score, unique_devices_per_account, unique_merchants_per_account.
     """
-    ends = endpoint_table(edge_table(tx))
+    ends = freeze(endpoint_table(edge_table(tx)))
+    busy = busy_nodes(ends, busy_min_rows)
     rows = tx.select("graph_id", "tx_id", *KEYS.values())
     for ntype, columns in (
         (
@@ -167,7 +176,7 @@ def degree_features(tx: DataFrame) -> DataFrame:
         ("device", {"device_degree": "degree"}),
         ("merchant", {"merchant_degree": "degree"}),
     ):
-        rows = attach(rows, ends, ntype, columns, None)
+        rows = attach(rows, ends, ntype, columns, busy)
     return rows.select(
         "graph_id",
         "tx_id",

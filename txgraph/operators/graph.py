@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions
 
 from txgraph.functions.scalars import hour_start, micros, node_key
 from txgraph.operators.prefix import running
-from txgraph.operators.skew import HEAVY_SHARE, heavy_threshold, lookup_join
+from txgraph.operators.skew import HEAVY_MIN, HEAVY_SHARE, heavy_threshold, lookup_join
 from txgraph.session import MAX_BROADCAST_ROWS, freeze, session_conf
 
 # Smallest degree at which a node is treated as a hub in message passing.
@@ -133,6 +133,20 @@ def nodes_by_type(vertices: DataFrame, ntype: str) -> DataFrame:
     return vertices.filter(F.col("ntype") == ntype)
 
 
+def busy_nodes(endpoints: DataFrame, minimum: int = HEAVY_MIN) -> DataFrame | None:
+    """Nodes that hold a large share of all transactions: graph_id, ntype, id; None if none.
+
+    ``endpoints`` should be frozen. At most a few times HEAVY_SHARE nodes can qualify.
+    """
+    # Every transaction adds one to the strength of exactly one device.
+    rows = endpoints.where("ntype = 'device'").agg(F.sum("strength")).first()[0] or 0
+    limit = heavy_threshold(rows, minimum)
+    if rows < limit:
+        return None
+    found = freeze(endpoints.where(F.col("strength") >= limit).select("graph_id", "ntype", "id"))
+    return None if found.isEmpty() else found
+
+
 @dataclass
 class TxGraph:
     """Frozen vertex and arc tables of many graphs.
@@ -229,7 +243,7 @@ class TxGraph:
 
 
 def build_graph(
-    tx: DataFrame, hub_min_degree: int = HUB_MIN_DEGREE, busy_min_rows: int | None = None
+    tx: DataFrame, hub_min_degree: int = HUB_MIN_DEGREE, busy_min_rows: int = HEAVY_MIN
 ) -> TxGraph:
     """Build the graphs of all ``graph_id`` values of ``tx`` at once.
 
@@ -243,30 +257,20 @@ def build_graph(
         numbered.groupBy("graph_id").agg(
             F.count("*").alias("size"),
             F.sum("degree").alias("arcs"),
-            F.sum(F.when(F.col("ntype") == "account", F.col("strength"))).cast("bigint").alias("edges_in"),
         )
     )
-    totals = graphs.agg(
-        F.count("*"), F.sum("size"), F.sum("arcs"), F.sum("edges_in")
-    ).first()
-    n_graphs, n_vertices, n_arcs, n_rows = (int(x or 0) for x in totals)
+    totals = graphs.agg(F.count("*"), F.sum("size"), F.sum("arcs")).first()
+    n_graphs, n_vertices, n_arcs = (int(x or 0) for x in totals)
 
     hub_degree = max(hub_min_degree, -(-n_arcs // HEAVY_SHARE))
-    busy_rows = (
-        heavy_threshold(n_rows) if busy_min_rows is None else max(busy_min_rows, -(-n_rows // HEAVY_SHARE))
-    )
-    # Only look for hubs and busy nodes where the totals allow any.
-    hubs = busy = None
+    # Only look for hubs where the totals allow any.
+    hubs = None
     if n_arcs >= hub_degree:
         found = freeze(
             numbered.filter(F.col("degree") >= hub_degree).select("graph_id", "ntype", "id", "node")
         )
         hubs = None if found.isEmpty() else found
-    if n_rows >= busy_rows:
-        found = freeze(
-            numbered.filter(F.col("strength") >= busy_rows).select("graph_id", "ntype", "id")
-        )
-        busy = None if found.isEmpty() else found
+    busy = busy_nodes(numbered, busy_min_rows)
 
     names = numbered.select(
         "graph_id",
