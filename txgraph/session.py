@@ -28,6 +28,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Drop checkpoint files once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
