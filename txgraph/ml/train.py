@@ -1,4 +1,4 @@
-"""Tabular-only against graph-enhanced boosted trees on one shared split."""
+"""Boosted trees with and without graph features, on one shared split."""
 
 from __future__ import annotations
 
