@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txgraph.llm import bpe
+from txgraph.llm import bpe, topk, warc
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +27,59 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of each vector whose id is divisible by 20."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+ORACLE["op4_topk"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page as a WARC record, merge the capture index, read all records back."""
+    found = warc.archive(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op7_warc"] = """
+WITH given AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages
+), hashed AS (
+  SELECT page_id, octet_length(encode(body)) AS n, sha1(body) AS hash FROM given
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hash) AS keeper FROM hashed
+), bits AS (
+  SELECT *, list_reduce(
+      list_transform(range(40), lambda i: lpad(bin(strpos('0123456789abcdef', hash[i + 1]) - 1), 4, '0')),
+      lambda x, y: x || y) AS bits
+  FROM kept
+)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  list_reduce(
+    list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (list_sum(list_transform(range(5), lambda j: (substr(bits, (i * 5 + j + 1)::INT, 1) = '1')::INT * (16 >> j::INT))) + 1)::INT, 1)),
+    lambda x, y: x || y) AS payload_digest,
+  CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN keeper = page_id THEN NULL ELSE keeper END AS refers_to
+FROM bits
+"""
