@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.llm import bpe, topk, warc
+from txgraph.llm import bpe, langid, packing, topk, warc
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the labelled documents outside the held-out fold."""
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of each vector whose id is divisible by 20."""
@@ -54,6 +60,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in bins of 2048 words: no two of a cluster, four of a source at most."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), capacity=2048, per_source=4)
+
+
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a WARC record, merge the capture index, read all records back."""
