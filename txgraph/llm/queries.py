@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.llm import bpe, langid, packing, topk, warc
+from txgraph.llm import bpe, langid, packing, pii, topk, warc
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,9 @@ SELECT page_id, n::BIGINT AS payload_bytes,
   CASE WHEN keeper = page_id THEN NULL ELSE keeper END AS refers_to
 FROM bits
 """
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text: base patterns and disclosing terms."""
+    return pii.report(read_table(spark, sf_dir, "documents"))
