@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.llm import bpe, langid, packing, pii, topk, warc
+from txgraph.llm import bpe, langid, packing, pii, quality, topk, warc
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,10 @@ FROM bits
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every text: base patterns and disclosing terms."""
     return pii.report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from co-trained views of text and metadata."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.classify(docs, read_table(spark, sf_dir, "labels"))
