@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.llm import bpe, langid, packing, pii, quality, topk, warc
+from txgraph.llm import bpe, langid, packing, pii, quality, suffix, topk, warc
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text covered by a string of 100 bytes that starts earlier, removed."""
+    found = suffix.remove(read_table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from the labelled documents outside the held-out fold."""
