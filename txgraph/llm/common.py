@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -10,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.session import ensure_checkpoint_dir, freeze
+from txgraph.session import MAX_BROADCAST_ROWS, ensure_checkpoint_dir, freeze
 
-__all__ = ["chunks", "freeze", "partitions_for", "read_table", "scratch_uri", "shared_folder"]
+__all__ = [
+    "chunks", "freeze", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small"
+]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +25,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """URI of the folder that the session names for files all executors share."""
     ensure_checkpoint_dir(spark)
-    return spark.sparkContext.getCheckpointDir().get() if hasattr(
-        spark.sparkContext.getCheckpointDir(), "get"
-    ) else spark.sparkContext.getCheckpointDir()
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_uri(spark: SparkSession, purpose: str) -> str:
@@ -65,5 +66,41 @@ def chunks(
         row = end
 
 
-def doc_key() -> "F.Column":
-    return F.col("doc_id").cast("long").alias("doc_id")
+def new_texts(texts: list[bytes], uids: list[int], seen: dict[bytes, int]) -> list[bool]:
+    """Which texts are new in this task, or of a smaller uid than all their copies so far.
+
+    The copy of smallest uid always is among them. The memory of digests is bounded.
+    """
+    out = []
+    for text, uid in zip(texts, uids, strict=True):
+        digest = hashlib.blake2b(text, digest_size=16).digest()
+        if len(seen) > 200_000:
+            seen.clear()
+        least = seen.get(digest)
+        new = least is None or uid < least
+        if new:
+            seen[digest] = uid
+        out.append(new)
+    return out
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(uid, text) in the order of documents; the numbering if ids could not serve as uid."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    told = given.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
+        F.min("h").alias("low"), F.max("h").alias("high")
+    )
+    if told.where("doc_id IS NULL OR low <> high").limit(1).count() == 0:
+        return given.withColumnRenamed("doc_id", "uid"), None
+    pairs = given.select("doc_id", F.xxhash64("text").alias("h")).distinct()
+    ordered = pairs.orderBy(F.col("doc_id").asc_nulls_last(), "h").rdd.zipWithIndex()
+    schema = "d long, h long, uid long"
+    numbers = freeze(docs.sparkSession.createDataFrame(ordered.map(lambda x: (*x[0], x[1])), schema))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h"))
+    return given.join(numbers, same).select("uid", "text"), numbers
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """To be broadcast if its counted rows stay within the package's bound, else shuffled."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df

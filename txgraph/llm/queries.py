@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.llm import bpe, langid, packing, pii, quality, suffix, topk, warc
+from txgraph.llm import bpe, hnsw, langid, packing, parity, pii, quality, suffix, topk, warc
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,33 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), capacity=2048, per_source=4)
 
 
+@query
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of a label by cosine of 0.98 or more, and their components."""
+    return hnsw.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op6_hnsw"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links,
+  least.component_id, e.vec_id = least.component_id AS kept
+FROM embeddings e JOIN least ON e.vec_id = least.node
+"""
+
+
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a WARC record, merge the capture index, read all records back."""
@@ -104,6 +131,40 @@ FROM bits
 """
 
 
+@query
+def op8_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with five-word shingles of Jaccard similarity 0.75 or more, as components."""
+    return parity.join(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_parity_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(
+      string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingled AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) END) AS s
+  FROM words
+), sets AS (SELECT DISTINCT doc_id, hash(s) AS s FROM shingled
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * inter >= 75 * (x.n + y.n - inter)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT node AS doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = node GROUP BY node
+"""
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every text: base patterns and disclosing terms."""

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import chunks, freeze, partitions_for
+from txgraph.llm.common import chunks, freeze, new_texts, numbered, partitions_for
 from txgraph.llm.words import mix
 
 GRAM = 32
@@ -98,24 +98,6 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray
     return keys[first], row, first, count
 
 
-def _distinct(texts: list[bytes], uids: list[int], seen: dict[bytes, int]) -> list[bool]:
-    """Which texts are new in this task, or of a smaller uid than all their copies so far.
-
-    The copy of smallest uid always is among them. The memory of digests is bounded.
-    """
-    out = []
-    for text, uid in zip(texts, uids, strict=True):
-        digest = hashlib.blake2b(text, digest_size=16).digest()
-        if len(seen) > 200_000:
-            seen.clear()
-        least = seen.get(digest)
-        new = least is None or uid < least
-        if new:
-            seen[digest] = uid
-        out.append(new)
-    return out
-
-
 def _flushes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple]]:
     """Chunks of (uids, data, offsets, runs) whose texts are new in this task, some at a time."""
     seen: dict[bytes, int] = {}
@@ -126,7 +108,7 @@ def _flushes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tu
             texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(end - first)]
             new = np.array([len(t) >= length for t in texts], dtype=bool)
             kept = [t for t, n in zip(texts, new, strict=True) if n]
-            new[new] = _distinct(kept, uid[first:end][new].tolist(), seen)
+            new[new] = new_texts(kept, uid[first:end][new].tolist(), seen)
             if not new.any():
                 continue
             kept = [t for t, n in zip(texts, new, strict=True) if n]
@@ -294,23 +276,6 @@ def repeated_starts(segments: list[bytes], counts: np.ndarray, ranks: np.ndarray
 # --- the distributed part ----------------------------------------------------
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(uid, text) in the order of documents; the numbering if ids could not serve as uid."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    told = given.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
-        F.min("h").alias("low"), F.max("h").alias("high")
-    )
-    if told.where("doc_id IS NULL OR low <> high").limit(1).count() == 0:
-        return given.withColumnRenamed("doc_id", "uid"), None
-    pairs = given.select("doc_id", F.xxhash64("text").alias("h")).distinct()
-    ordered = pairs.orderBy(F.col("doc_id").asc_nulls_last(), "h").rdd.zipWithIndex()
-    schema = "d long, h long, uid long"
-    numbers = freeze(docs.sparkSession.createDataFrame(ordered.map(lambda x: (*x[0], x[1])), schema))
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h"))
-    return given.join(numbers, same).select("uid", "text"), numbers
-
-
 def digests(given: DataFrame, length: int) -> DataFrame:
     """(uid, n_bytes, sha256, first): first is the smallest uid of an equal text."""
     rows = freeze(
@@ -607,7 +572,7 @@ def remove(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> D
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
-    given, numbers = _numbered(docs)
+    given, numbers = numbered(docs)
     told, cut = _search(given, length, hot_rows)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
