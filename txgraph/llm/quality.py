@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import chunks
+from txgraph.llm.common import chunks, freeze
 from txgraph.llm.langid import Ftrl, fold
 from txgraph.llm.langid import Settings as FtrlSettings
 from txgraph.llm.words import mix, word_hashes
@@ -202,7 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[b
         return zero[0].tobytes(), zero[1].tobytes(), [0, 0, 0, 0, 0, 0, float(np.log(p / (1 - p)))]
     draw = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1_000_000)) / 1e6
     rate = F.when(F.col("y") == 1, min(1.0, s.per_class / sizes[1])).otherwise(min(1.0, s.per_class / sizes[0]))
-    labelled = given.join(known.where(draw < rate), "doc_id")
+    # Bounded by the settings, so a broadcast; texts stay where they are read.
+    labelled = given.join(F.broadcast(freeze(known.where(draw < rate))), "doc_id")
     fresh = F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1_000_000)) / 1e6
     pool = given.where(fresh < min(1.0, s.pool / max(1, total))).join(known, "doc_id", "left_anti")
     sample = labelled.unionByName(pool.withColumn("y", F.lit(-1)))
