@@ -5,16 +5,19 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txgraph.session import MAX_BROADCAST_ROWS, ensure_checkpoint_dir, freeze
 
 __all__ = [
-    "chunks", "freeze", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small"
+    "chunks", "freeze", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small",
+    "discard", "written",
 ]
 
 
@@ -33,6 +36,20 @@ def scratch_uri(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The rows as a Parquet table below the shared folder."""
+    schema = df.schema
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def discard(uri: str) -> None:
+    """Delete a scratch folder; where Python has no access to the store, it stays."""
+    with suppress(pa.ArrowInvalid, OSError):
+        fs, path = pafs.FileSystem.from_uri(uri)
+        fs.delete_dir(path)
+
+
 def partitions_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     """Enough partitions for ``rows``, and never fewer than the session's setting."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -74,7 +91,7 @@ def new_texts(texts: list[bytes], uids: list[int], seen: dict[bytes, int]) -> li
     out = []
     for text, uid in zip(texts, uids, strict=True):
         digest = hashlib.blake2b(text, digest_size=16).digest()
-        if len(seen) > 200_000:
+        if len(seen) > 100_000:
             seen.clear()
         least = seen.get(digest)
         new = least is None or uid < least

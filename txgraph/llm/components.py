@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import freeze
+from txgraph.llm.common import discard, freeze, scratch_uri, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,22 +13,24 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round every node hooks onto its smallest neighbour, pointers are doubled, and the
     edges are rewritten to the nodes reached; what lies within one node goes. Rounds grow with
-    the logarithm of the longest chain. Nothing is collected; a round ends in a checkpoint.
+    the logarithm of the longest chain. Nothing is collected. The edges of a round are a written
+    table and no checkpoint, since a checkpoint carries the size estimate of its plan along, and
+    these multiply from round to round.
     """
-    rest = freeze(
-        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .where("a < b")
-        .distinct()
-    )
-    labels = None
+    folder, number = scratch_uri(edges.sparkSession, "components"), 0
+    pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = written(pairs.where("a < b").distinct(), f"{folder}/{number}")
+    labels = rest.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
     while not rest.isEmpty():
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-        hooks = freeze(hooks.select("node", F.least("node", "m").alias("top")))
+        hooks = hooks.select("node", F.least("node", "m").alias("top"))
+        number += 1
+        hooks = written(hooks, f"{folder}/{number}")
         for _ in range(2):
             above = hooks.select(F.col("node").alias("top"), F.col("top").alias("next"))
             hooks = hooks.join(above, "top").select("node", F.col("next").alias("top"))
-        if labels is None:
+        if number == 1:
             labels = hooks.select("node", F.col("top").alias("component"))
         else:
             above = hooks.select(F.col("node").alias("component"), "top")
@@ -39,7 +41,9 @@ def components(edges: DataFrame) -> DataFrame:
         moved = rest.join(to, "a").select("b", "x")
         to = hooks.select(F.col("node").alias("b"), F.col("top").alias("y"))
         moved = moved.join(to, "b").where("x <> y")
-        rest = freeze(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    if labels is None:
-        return rest.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return freeze(labels)
+        pairs = moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        number += 1
+        rest = written(pairs.distinct(), f"{folder}/{number}")
+    labels = freeze(labels)
+    discard(folder)
+    return labels

@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNDETERMINED = "und"
 MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
@@ -223,13 +224,21 @@ def fit(rows: DataFrame, s: Settings = Settings()) -> Model:
 
 def predict(docs: DataFrame, model: Model, bits: int = Settings.bits) -> DataFrame:
     """(doc_id, lang_pred, score) of every row; only the text is read."""
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return annotate(given, model, bits).select("doc_id", "lang_pred", "score")
+
+
+def annotate(docs: DataFrame, model: Model, bits: int = Settings.bits) -> DataFrame:
+    """All columns of ``docs`` and lang_pred and score (which replace columns of these names)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^bits x languages floats
+    docs = docs.drop("lang_pred", "score")
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             names, scores = [], []
-            for value in batch.column(1):
+            for value in batch.column(at):
                 found = counts(value.as_py(), bits) if m.languages else None
                 if found is None:
                     names.append(UNDETERMINED)
@@ -241,12 +250,12 @@ def predict(docs: DataFrame, model: Model, bits: int = Settings.bits) -> DataFra
                 names.append(m.languages[best])
                 scores.append(float(min(1.0, p[best])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, "lang_pred", "score"],
             )
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def fold(doc_id: str = "doc_id") -> Column:
