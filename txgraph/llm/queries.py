@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from txgraph.llm import bpe, hnsw, langid, packing, parity, pii, quality, suffix, topk, warc
 from txgraph.llm.common import read_table
 
@@ -176,3 +177,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from co-trained views of text and metadata."""
     docs = read_table(spark, sf_dir, "documents")
     return quality.classify(docs, read_table(spark, sf_dir, "labels"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents; its last stage's rows."""
+    return corpus_pipeline.run(spark, sf_dir)
