@@ -27,8 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import freeze
-from txgraph.session import MAX_BROADCAST_ROWS
+from txgraph.llm.common import freeze, small
 
 # --- fixed values -----------------------------------------------------------
 KINDS = ["email", "ip", "card", "phone"]
@@ -169,20 +168,28 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, s: Settings = Settings())
         .where(F.col("contexts") >= s.support)
         .drop("contexts")
     )
-    pairs = freeze(pairs)
-    terms = pairs.select("term").distinct()
-    if pairs.count() <= MAX_BROADCAST_ROWS:  # else both sides are shuffled
-        terms = F.broadcast(terms)
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     given = keyed(docs)
-    n = given.count()
-    held = given.select(F.explode(words).alias("term")).join(terms, "term")
-    counts = held.groupBy("term").agg(F.count("*").alias("n_term"))
-    information = F.log(F.lit(float(max(1, n))) / F.col("n_value"))
-    mutual = F.log(F.lit(float(max(1, n))) * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
+    n = F.lit(float(max(1, given.count())))
+    information = F.log(n / F.col("n_value"))
+
+    def disclosure(n_term: str) -> Column:
+        mutual = F.log(n * F.col("n_both") / (F.col(n_term) * F.col("n_value")))
+        return F.when(information > 0, mutual / information).otherwise(0.0)
+
+    # A term is in at least as many documents as it stands near any value in. With that count
+    # the disclosure is an upper bound, which spares the common words the count over the corpus.
+    around = (
+        contexts.select("doc_id", "text_hash", F.explode(near).alias("term"))
+        .groupBy("term")
+        .agg(F.countDistinct(F.struct("doc_id", "text_hash")).alias("n_near"))
+    )
+    pairs = freeze(pairs.join(around, "term").where(disclosure("n_near") >= s.generalise).drop("n_near"))
+    # Document frequencies of the whole corpus, added up before anything is joined to them.
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    counts = given.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     scored = (
-        pairs.join(counts, "term")
-        .withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
+        counts.join(small(pairs, pairs.count()), "term")
+        .withColumn("disclosure", disclosure("n_term"))
         .where(F.col("disclosure") >= s.generalise)
     )
     action = F.when(F.col("disclosure") >= s.remove, "remove").otherwise("generalise")
@@ -197,7 +204,8 @@ def term_spans(docs: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
         .groupBy("doc_id", "text_hash", "term")
         .agg(F.max("action").alias("action"))  # 'remove' after 'generalise'
     )
-    held = freeze(held).select(
+    held = freeze(held)
+    held = small(held, held.count()).select(
         F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("term").alias("t"), "action"
     )
     given = keyed(docs)
