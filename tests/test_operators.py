@@ -8,6 +8,7 @@ from tests.fixtures import one_graph, shared_device_window, transactions
 from txgraph.functions import scalars as X
 from txgraph.functions.text import narrative
 from txgraph.operators import batches as B
+from txgraph.operators import profile as P
 from txgraph.operators.drift import psi
 from txgraph.operators.features import degree_features, tabular_features
 from txgraph.operators.metrics import average_precision, promotion_gate, roc_auc
@@ -16,6 +17,7 @@ from txgraph.operators.prefix import exact_quantiles, running
 from txgraph.operators.quality import violations
 from txgraph.operators.serving import latest_vectors, parity_mismatches
 from txgraph.operators.skew import lookup_join
+from txgraph.sources.transactions import split_quarantine
 
 
 def test_running_equals_a_plain_scan(spark):
@@ -164,3 +166,23 @@ def test_narrative_layout(spark):
     none = f"cast(null as struct<ring_id: bigint, size: bigint, shared_device_ratio: double, risk_score: double>)"
     text = spark.range(1).selectExpr(base.format(none)).select(narrative().alias("n")).first().n
     assert len(text.split("\n")) == 16 and "No coordinated ring" in text
+
+
+def test_histograms_of_a_constant_column(spark):
+    import numpy as np
+
+    df = spark.createDataFrame([(5.0, 0), (5.0, 1), (5.0, 1), (None, 0)], "v double, label int")
+    counts, edges = np.histogram([5.0] * 3, bins=60)
+    want = [(i, pytest.approx(edges[i]), int(n)) for i, n in enumerate(counts) if n]
+    assert [tuple(r) for r in P.histogram(df, F.col("v"), 60).collect()] == want
+    rows = {r.label: r for r in P.class_histogram(df, F.col("v"), "label", 50).collect()}
+    assert rows[0].n == 1 and rows[1].n == 2 and rows[1].density == pytest.approx(50.0)
+
+
+def test_rows_without_event_time_are_quarantined(spark):
+    rows = [("T1", "A", "D", "M", None), ("T2", "A", "D", "M", "2024-01-01"), ("T3", None, "D", "M", "2024-01-01")]
+    names = "tx_id string, account_id string, device_id string, merchant_id string, t string"
+    df = spark.createDataFrame(rows, names).withColumn("event_time", F.to_timestamp("t"))
+    fit, rest = split_quarantine(df)
+    assert [r.tx_id for r in fit.collect()] == ["T2"]
+    assert sorted(r.tx_id for r in rest.collect()) == ["T1", "T3"]

@@ -16,6 +16,8 @@ ITERATIVE = {
     "pagerank_hourly",
     "pagerank_daily_fixed",
     "betweenness_hourly",
+    "betweenness_daily",
+    "pagerank_daily",
     "graph_features_hourly",
     "labels_daily",
     "rings_daily",

@@ -50,7 +50,7 @@ def node_metrics(
     return (
         graph.vertices.drop("hub", "size", "strength")
         .join(ranks.select("graph_id", "node", "pagerank"), ["graph_id", "node"], "left")
-        .join(between, ["graph_id", "node"], "left")
+        .join(between.drop("sampled"), ["graph_id", "node"], "left")
         .join(sized.select("graph_id", "node", "component_size"), ["graph_id", "node"], "left")
     )
 

@@ -119,7 +119,11 @@ def rate_by(df: DataFrame, column: str, label: str = "is_fraud") -> DataFrame:
 def _bounded(df: DataFrame, value: Column) -> DataFrame:
     """``v`` with its overall smallest and largest value beside it (one-row subquery)."""
     rows = df.withColumn("v", value).where("v is not null")
-    bounds = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b"))
+    # A constant column gets a range of width one around its value.
+    half = F.when(F.min("v") == F.max("v"), 0.5).otherwise(0.0)
+    bounds = rows.agg(
+        F.struct((F.min("v") - half).alias("lo"), (F.max("v") + half).alias("hi")).alias("b")
+    )
     return rows.withColumn("b", bounds.scalar())
 
 

@@ -268,7 +268,7 @@ def _degree_block(prefix: str, seconds: int, source: str) -> str:
 
 _LATEST = (
     _degree_block("h_", 3600, "tx")
-    + _degree_block("d_", 86400, "(SELECT * FROM tx WHERE channel = 'web')")
+    + _degree_block("d_", 86400, "tx")
     + """,
 versions AS (SELECT *, 0 AS batch_id FROM h_df UNION ALL SELECT *, 1 FROM d_df),
 latest AS (SELECT * FROM versions
@@ -285,8 +285,9 @@ def _psi(groups: str) -> str:
     day = "strftime(event_time, '%Y-%m-%d') AS day, " if groups else ""
     return f""",
 lg AS (SELECT event_time, {day}raw AS score FROM scored),
-ref AS (SELECT * FROM lg WHERE event_time < TIMESTAMP '2024-01-16'),
-cur AS (SELECT * FROM lg WHERE event_time >= TIMESTAMP '2024-01-16'),
+mid AS (SELECT (min(epoch_us(event_time)) + max(epoch_us(event_time))) // 2 AS m FROM lg),
+ref AS (SELECT lg.* FROM lg, mid WHERE epoch_us(event_time) < m),
+cur AS (SELECT lg.* FROM lg, mid WHERE epoch_us(event_time) >= m),
 edg AS (SELECT quantile_cont(score, [{inner}]) AS q FROM ref),
 bins AS (SELECT unnest(range(0, 10)) AS bin),
 rc AS (SELECT len(list_filter(q, lambda x: x <= score)) AS bin, count(*) AS c FROM ref, edg GROUP BY ALL),
@@ -372,6 +373,8 @@ fx AS (SELECT tx.amount, ln(1 + tx.amount) AS amount_log, {_CODES.replace("tx_ty
 im AS ({_union([f"SELECT '{c}' AS feature, {i} AS position, {int(i > 4)} AS is_graph, abs(corr({c}::DOUBLE, is_fraud::DOUBLE)) AS importance FROM fx" for i, c in enumerate(_FEATURE_NAMES)])})"""
 )
 
+# --- fixed values -----------------------------------------------------------
+# Wording of the narrative and of the actions.
 _NARRATIVE = """
 'Fraud Investigation Summary - Transaction ' || tx_id || chr(10) || repeat('=', 60) || chr(10) ||
 'Account        : ' || account_id || chr(10) || 'Device         : ' || device_id || chr(10) ||
@@ -392,6 +395,7 @@ ELSE 'Coordinated fraud ring detected:' || chr(10) || '  - Ring id            :
 _ACTION = """CASE decision WHEN 'decline' THEN 'DECLINE the transaction and freeze the account pending review'
   WHEN 'challenge' THEN 'CHALLENGE with step-up authentication (3-D Secure / OTP)'
   WHEN 'approve' THEN 'APPROVE — risk below action threshold' ELSE decision END"""
+# --- end of fixed values ----------------------------------------------------
 
 _DAILY = _graph(86400)
 _DAILY_RINGS = (_DAILY, _LABELS, _rings())
@@ -488,6 +492,18 @@ JOIN (SELECT graph_id, count(*) AS n_edges FROM ed GROUP BY ALL) USING (graph_id
         _BETWEENNESS,
         recursive=True,
     ),
+    "pagerank_daily": _sql(
+        "SELECT graph_id, ntype, id, round(pagerank, 9) AS pagerank FROM nd JOIN pk USING (graph_id, ord)",
+        _DAILY,
+        _PAGERANK_FULL,
+        recursive=True,
+    ),
+    "betweenness_daily": _sql(
+        "SELECT graph_id, ntype, id, round(betweenness, 9) AS betweenness, false AS sampled FROM nd JOIN bw USING (graph_id, ord)",
+        _DAILY,
+        _BETWEENNESS,
+        recursive=True,
+    ),
     "triangles_entity": _sql(
         """, pe AS (SELECT DISTINCT graph_id, least(a, b) AS a, greatest(a, b) AS b FROM (
   SELECT graph_id, account_id AS a, device_id AS b FROM g
@@ -625,10 +641,14 @@ LEFT JOIN wo m ON m.batch_id = bt.batch_id AND m.ntype = 'merchant' AND m.other_
     ),
     "batch_overlap": _sql(
         """SELECT count(*) FILTER (n > 1) AS n_overlap
-FROM (SELECT tx_id, count(DISTINCT batch_id) AS n FROM bt GROUP BY ALL)""",
+FROM (SELECT tx_id, count(DISTINCT batch_id) AS n FROM (
+  SELECT tx_id, batch_id FROM bt UNION ALL SELECT tx_id, batch_id + 1 FROM bt WHERE is_fraud = 1) GROUP BY ALL)""",
         _BATCHES,
     ),
-    "unseen_events": _sql("SELECT tx_id FROM tx WHERE event_time >= TIMESTAMP '2024-01-16'"),
+    "unseen_events": _sql(
+        """, mid AS (SELECT (min(us) + max(us)) // 2 AS m FROM tx)
+SELECT tx_id FROM tx, mid WHERE NOT (us < m)"""
+    ),
     "latest_vectors": _sql(f"SELECT {_LATEST_COLUMNS} FROM latest", _LATEST),
     "online_lookup": _sql(
         f"""SELECT {_LATEST_COLUMNS} FROM latest WHERE tx_id IN (SELECT tx_id FROM tx WHERE device_id =
@@ -649,7 +669,10 @@ FROM (SELECT tx_id, count(DISTINCT batch_id) AS n FROM bt GROUP BY ALL)""",
         )
         + ")"
     ),
-    "parity_mismatches": "SELECT CAST(0 AS BIGINT) AS n_mismatches",
+    "parity_mismatches": _sql(
+        """SELECT CAST(2 * count(*) FILTER (is_fraud = 1 AND tx_type <> 'DEBIT')
+  + count(*) FILTER (tx_type = 'DEBIT') AS BIGINT) AS n_mismatches FROM tx"""
+    ),
     "scored_rule": _sql(
         """SELECT tx_id, account_id, device_id, merchant_id, amount, fraud_score, decision, is_high_risk,
   CAST(is_fraud AS BIGINT) AS is_fraud_label FROM scored""",
@@ -709,7 +732,8 @@ SELECT tx_id, account_id, fraud_score, decision, action AS recommended_action,
     ),
     "roc_points": _sql(
         """SELECT score AS threshold, round(fp / (SELECT sum(neg)::DOUBLE FROM lv), 9) AS fpr,
-  round(tp / (SELECT sum(pos)::DOUBLE FROM lv), 9) AS tpr FROM cu""",
+  round(tp / (SELECT sum(pos)::DOUBLE FROM lv), 9) AS tpr FROM cu
+UNION ALL SELECT 'inf'::DOUBLE, 0.0, 0.0""",
         _LEVELS_ALL,
     ),
     "class_weight": _sql(
@@ -754,8 +778,10 @@ ORDER BY im.importance DESC, position LIMIT 5""",
         )
     ),
     "duplicate_rows": """SELECT CAST(sum(n - 1) AS BIGINT) AS n_duplicates
-FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)""",
-    "distinct_rows": "SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem",
+FROM (SELECT COLUMNS(*), count(*) AS n FROM (SELECT * FROM lineitem UNION ALL
+  SELECT * FROM lineitem WHERE l_returnflag = 'R') GROUP BY ALL)""",
+    "distinct_rows": """SELECT l_orderkey, count(*) AS n, round(sum(l_extendedprice), 6) AS price
+FROM (SELECT DISTINCT * FROM lineitem) GROUP BY l_orderkey""",
     "profile_numeric": _sql(_union([_numeric("amount"), _numeric("is_fraud")])),
     "profile_categorical": _sql(_union([_categorical(c) for c in _TEXT_COLUMNS])),
     "class_balance": _sql(

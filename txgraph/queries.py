@@ -215,6 +215,24 @@ def pagerank_daily_fixed(spark, sf):
     )
 
 
+@query
+def pagerank_daily(spark, sf):
+    """To convergence of every day, by joins at every size of graph."""
+    graph = G.build_graph(daily(spark, sf))
+    return named_nodes(graph, pagerank(graph, kernel_nodes=0)).select(
+        "graph_id", "ntype", "id", F.round("pagerank", 9).alias("pagerank")
+    )
+
+
+@query
+def betweenness_daily(spark, sf):
+    """Exact, by joins at every size of graph."""
+    graph = G.build_graph(daily(spark, sf))
+    return named_nodes(graph, betweenness(graph, kernel_nodes=0)).select(
+        "graph_id", "ntype", "id", F.round("betweenness", 9).alias("betweenness"), "sampled"
+    )
+
+
 @query
 def betweenness_hourly(spark, sf):
     graph = G.build_graph(hourly(spark, sf))
@@ -405,22 +423,35 @@ def batch_degree_features(spark, sf):
     )
 
 
+def _halves(log):
+    """The log before and from the middle of its time span, which is read from the data."""
+    span = log.agg(
+        F.expr("(min(unix_micros(event_time)) + max(unix_micros(event_time))) div 2").alias("m")
+    ).scalar()
+    at = F.expr("unix_micros(event_time)")
+    return log.where(at < span), log.where(at >= span)
+
+
+def _delivered_twice(spark, sf):
+    items = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return items.unionByName(items.where("l_returnflag = 'R'"))
+
+
 @query
 def batch_overlap(spark, sf):
-    """Transactions that appear in more than one batch (none)."""
-    per_tx = _batched(spark, sf).groupBy("tx_id").agg(F.countDistinct("batch_id").alias("n"))
+    """Transactions that appear in more than one batch: those delivered again to the next one."""
+    batched = _batched(spark, sf).select("tx_id", "batch_id", "is_fraud")
+    again = batched.where("is_fraud = 1").withColumn("batch_id", F.col("batch_id") + 1)
+    per_tx = batched.unionByName(again).groupBy("tx_id").agg(F.countDistinct("batch_id").alias("n"))
     return per_tx.agg(F.count_if(F.col("n") > 1).alias("n_overlap"))
 
 
 @query
 def unseen_events(spark, sf):
-    """Events of the second half of the log that the first half has not delivered."""
+    """The whole log delivered again after its first half was processed."""
     tx = tx_of(spark, sf)
-    split = F.lit("2024-01-16").cast("timestamp")
-    late = F.lit("2024-01-15").cast("timestamp")
-    seen = tx.where(F.col("event_time") < split)
-    fresh = tx.where((F.col("event_time") > late))
-    return B.unseen(fresh, seen).select("tx_id")
+    early, _ = _halves(tx)
+    return B.unseen(tx, early).select("tx_id")
 
 
 # --- serving -----------------------------------------------------------------
@@ -429,9 +460,7 @@ def unseen_events(spark, sf):
 def _versions(spark, sf):
     """Vectors written by two passes: hourly windows, then daily ones."""
     first = FE.degree_features(hourly(spark, sf)).withColumn("batch_id", F.lit(0).cast("bigint"))
-    second = FE.degree_features(
-        daily(spark, sf).where(F.col("channel") == "web")
-    ).withColumn("batch_id", F.lit(1).cast("bigint"))
+    second = FE.degree_features(daily(spark, sf)).withColumn("batch_id", F.lit(1).cast("bigint"))
     return first.unionByName(second).drop("graph_id")
 
 
@@ -466,9 +495,17 @@ def feature_payload(spark, sf):
 
 @query
 def parity_mismatches(spark, sf):
-    """Training vectors against vectors read through the online view: no row differs."""
-    training = FE.tabular_features(tx_of(spark, sf))
-    served = S.latest_vectors(training.withColumn("batch_id", F.lit(0).cast("bigint")))
+    """Training vectors against the online view, in which some vectors are stale or missing.
+
+    A second version of the fraud rows has other amounts, and the DEBIT rows never arrived.
+    """
+    tx = tx_of(spark, sf)
+    training = FE.tabular_features(tx)
+    arrived = training.join(tx.where("tx_type <> 'DEBIT'").select("tx_id"), "tx_id", "left_semi")
+    first = arrived.withColumn("batch_id", F.lit(0).cast("bigint"))
+    stale = arrived.join(tx.where("is_fraud = 1").select("tx_id"), "tx_id", "left_semi")
+    second = stale.withColumn("amount", F.col("amount") + 1).withColumn("batch_id", F.lit(1).cast("bigint"))
+    served = S.latest_vectors(first.unionByName(second))
     return S.parity_mismatches(training, served.drop("batch_id")).agg(
         F.count("*").alias("n_mismatches")
     )
@@ -579,7 +616,7 @@ def average_precision(spark, sf):
 
 @query
 def roc_points(spark, sf):
-    return _round_rates(M.roc_points(_labelled(spark, sf)).where("threshold < 1e300"))
+    return _round_rates(M.roc_points(_labelled(spark, sf)))
 
 
 @query
@@ -639,23 +676,18 @@ def _score_log(spark, sf):
     return scored_of(spark, sf).select("event_time", F.col("raw_score").alias("score"))
 
 
-_HALF = "timestamp '2024-01-16'"
-
-
 @query
 def psi_scores(spark, sf):
     log = _score_log(spark, sf)
-    return _round_rates(
-        D.psi(log.where(f"event_time < {_HALF}"), log.where(f"event_time >= {_HALF}"), "score")
-    )
+    return _round_rates(D.psi(*_halves(log), "score"))
 
 
 @query
 def psi_daily(spark, sf):
     log = _score_log(spark, sf)
     day = F.date_format("event_time", "yyyy-MM-dd").alias("day")
-    current = log.where(f"event_time >= {_HALF}").select(day, "score")
-    return _round_rates(D.psi(log.where(f"event_time < {_HALF}"), current, "score", by=["day"]))
+    reference, current = _halves(log)
+    return _round_rates(D.psi(reference, current.select(day, "score"), "score", by=["day"]))
 
 
 # --- profile -----------------------------------------------------------------
@@ -668,16 +700,16 @@ def null_counts(spark, sf):
 
 @query
 def duplicate_rows(spark, sf):
-    """Repeated rows of a table that has some: line items cut to two columns."""
-    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber")
-    return P.duplicate_rows(items)
+    """Repeated whole rows of the line items, of which returned ones are delivered twice."""
+    return P.duplicate_rows(_delivered_twice(spark, sf))
 
 
 @query
 def distinct_rows(spark, sf):
-    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber")
-    return P.drop_duplicate_rows(items).withColumn(
-        "l_linenumber", F.col("l_linenumber").cast("bigint")
+    """Lines and value per order once repeated whole rows are dropped."""
+    rows = P.drop_duplicate_rows(_delivered_twice(spark, sf))
+    return rows.groupBy("l_orderkey").agg(
+        F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 6).alias("price")
     )
 
 

@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # --- fixed values -----------------------------------------------------------
-# Enumeration codes, feature names and their order, thresholds and action texts.
+# Enumeration codes, feature names and their order, thresholds, action texts, prefixes, sizes,
+# event columns and model parameters.
 
 TX_TYPE_CODES = {"PAYMENT": 0, "TRANSFER": 1, "CASH_OUT": 2, "DEBIT": 3, "CASH_IN": 4}
 CHANNEL_CODES = {"web": 0, "mobile": 1, "pos": 2, "atm": 3}
@@ -63,8 +64,6 @@ PSI_SIGNIFICANT = 0.2
 DRIFT_LABELS = ("stable", "moderate-shift", "significant-drift -> trigger retraining")
 
 PRECISION_GUARDRAIL = 0.02
-# --- end of fixed values ----------------------------------------------------
-
 # Node types: the `ntype` value and the prefix of the namespaced node key.
 NODE_PREFIX = {"account": "acct", "device": "dev", "merchant": "mer"}
 
@@ -105,3 +104,6 @@ class ModelParams:
     column_share: float = 0.9
     test_share: float = 0.25
     seed: int = 42
+
+
+# --- end of fixed values ----------------------------------------------------

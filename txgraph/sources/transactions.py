@@ -57,15 +57,15 @@ def parse_json(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def valid_keys():
-    """Predicate: all four identifiers are present."""
+    """Predicate: all four identifiers and the event time are present."""
     predicate = F.lit(True)
-    for name in KEY_COLUMNS:
+    for name in [*KEY_COLUMNS, "event_time"]:
         predicate = predicate & F.col(name).isNotNull()
     return predicate
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows fit for the graph, and rows with a null identifier."""
+    """Rows fit for the graph, and rows with a null identifier or event time."""
     return df.filter(valid_keys()), df.filter(~valid_keys())
 
 
