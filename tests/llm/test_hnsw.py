@@ -82,6 +82,6 @@ def test_recall_of_a_graph_and_its_packed_form():
     assert graph.audit() >= 0.98
     again = hnsw.Graph.unpack(*graph.pack(), 24, hnsw.Settings())
     truth = v @ v.T >= 0.98
-    found = sum(len({x for _, x in again.search(q)} & set(np.flatnonzero(truth[i]).tolist())) for i, q in enumerate(v))
+    found = sum(len(set(again.search(q)) & set(np.flatnonzero(truth[i]).tolist())) for i, q in enumerate(v))
     assert found >= 0.95 * truth.sum()
-    assert all(truth[i, x] for i, q in enumerate(v[:50]) for _, x in again.search(q))
+    assert all(truth[i, x] for i, q in enumerate(v[:50]) for x in again.search(q))
