@@ -43,8 +43,10 @@ GRAM = 32
 LENGTH = 100
 RUN = 1024  # starts in a segment at most
 HOT_ROWS = 20_000  # occurrences above which a key is split, if it is also a 100,000th of all runs
-BLOCK_BYTES = 4 << 20
-FLUSH_RUNS = 400_000
+BLOCK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 20
+FLUSH_RUNS = 200_000
+MEMORY = 100_000  # digests that a task remembers
 
 
 # --- keys and runs of one chunk of texts ------------------------------------
@@ -104,7 +106,7 @@ def _flushes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tu
     held, size = [], 0
     for batch in batches:
         uid = np.asarray(batch.column(0).to_pylist(), dtype=np.int64)
-        for first, end, data, offsets in chunks(batch.column(1)):
+        for first, end, data, offsets in chunks(batch.column(1), CHUNK_BYTES):
             texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(end - first)]
             new = np.array([len(t) >= length for t in texts], dtype=bool)
             kept = [t for t, n in zip(texts, new, strict=True) if n]
@@ -127,17 +129,15 @@ def _flushes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tu
 # --- two-stage suffix sorting of one block ----------------------------------
 
 
-def _word(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The 8 bytes at each position as a big-endian number (text padded by its caller)."""
-    out = np.zeros(len(at), dtype=np.uint64)
-    for i in range(8):
-        out = out << np.uint64(8) | text[at + i]
-    return out
+def _words(padded: np.ndarray) -> np.ndarray:
+    """A view: at each position the next 8 bytes as a big-endian number."""
+    return np.ndarray((len(padded) - 7,), dtype=">u8", buffer=padded, strides=(1,))
 
 
 def _sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """Positions ordered by their next ``depth`` bytes at least; only ties are compared on."""
-    key = _word(text, at)
+    words = _words(text)
+    key = words[at].astype(np.uint64)
     order = np.argsort(key, kind="stable")
     at, key = at[order], key[order]
     group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])]) if len(at) else key.astype(np.int64)
@@ -149,7 +149,7 @@ def _sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         tied = np.flatnonzero(same)
         if not len(tied):
             break
-        key = _word(text, at[tied] + step)
+        key = words[at[tied] + step].astype(np.uint64)
         order = np.lexsort((key, group[tied]))
         at[tied], key, members = at[tied][order], key[order], group[tied][order]
         new = np.concatenate([[False], (members[1:] != members[:-1]) | (key[1:] != key[:-1])])
@@ -225,12 +225,13 @@ def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Common prefix of each position with the one before it in the order, at most ``depth``."""
     padded = np.concatenate([text, np.zeros(depth + 16, dtype=np.uint8)])
+    words = _words(padded)
     lcp = np.zeros(len(order), dtype=np.int64)
     open_ = np.arange(1, len(order))
     for step in range(0, depth, 8):
         if not len(open_):
             break
-        apart = _word(padded, order[open_] + step) ^ _word(padded, order[open_ - 1] + step)
+        apart = (words[order[open_] + step] ^ words[order[open_ - 1] + step]).astype(np.uint64)
         equal = np.full(len(open_), 8, dtype=np.int64)
         some = apart != 0
         # Leading equal bytes: the place of the highest byte that differs.
@@ -458,7 +459,7 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
                     start, n, key = run["start"], run["n"], run["key"]
                     content = data[start : start + n + length - 1]
                     digest = hashlib.blake2b(content, digest_size=16, salt=key.to_bytes(8, "little", signed=True)).digest()
-                    if len(contents) > 300_000:
+                    if len(contents) > MEMORY:
                         contents.clear()
                     earlier = contents.get(digest)
                     if earlier is not None and earlier < (uid, start):
@@ -565,10 +566,11 @@ def _search(given: DataFrame, length: int, hot_rows: int) -> tuple[DataFrame, Da
 
 
 def remove(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, spans) of every row.
+    """(doc_id, sha256, n_bytes, n_removed, n_spans, kept_sha256, kept, spans) of every row.
 
-    kept (bytes) and spans (begin, end in bytes) are null where nothing is removed; a text that
-    is a copy of an earlier one goes whole, as one span.
+    sha256 is that of the whole text. kept (the remaining text, without characters that were cut
+    through) and spans (begin, end in bytes) are null where nothing is removed; a text that is a
+    copy of an earlier one goes whole, as one span.
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
@@ -587,27 +589,28 @@ def remove(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> D
                 kept = b"".join([*kept, data[at:]])
                 rows.append(
                     {"uid": uid.as_py(), "n_removed": len(data) - len(kept), "n_spans": len(merged)}
-                    | {"kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept}
+                    | {"kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode("utf-8", "ignore")}
                     | {"spans": [{"begin": b, "end": e} for b, e in merged]}
                 )
             span = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
             fields = [("uid", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([*fields, ("kept", pa.binary()), ("spans", pa.list_(span))]))
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([*fields, ("kept", pa.string()), ("spans", pa.list_(span))]))
 
     part = cut.mapInArrow(
         strip,
-        "uid long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<begin:long,end:long>>",
+        "uid long, n_removed long, n_spans long, kept_sha256 string, kept string, spans array<struct<begin:long,end:long>>",
     )
     copy = (F.col("uid") != F.col("first")) & (F.col("n_bytes") >= length)
     nothing = F.sha2(F.lit(b""), 256)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
     rows = told.join(part, "uid", "left").select(
         "uid",
+        "sha256",
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, nothing).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-        F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(copy, "").otherwise(F.col("kept")).alias("kept"),
         F.when(copy, whole).otherwise(F.col("spans")).alias("spans"),
     )
     if numbers is not None:
@@ -615,8 +618,22 @@ def remove(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> D
         text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
         wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("th"))
         same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))
-        return wanted.join(rows, same).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans")
+        return wanted.join(rows, same).select(
+            "doc_id", "sha256", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"
+        )
     rows = rows.withColumnRenamed("uid", "doc_id")
     if told.count() < docs.count():  # equal rows: each gets the result
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(rows, "doc_id")
     return rows
+
+
+def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """All columns of ``docs``, with what ``remove`` removes taken out of the text."""
+    cut = remove(docs, length).where("n_removed > 0").select(
+        F.col("doc_id").alias("_d"), F.col("sha256").alias("_h"), F.col("kept").alias("_kept")
+    )
+    cut = cut.dropDuplicates(["_d", "_h"])
+    own = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    given = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_own": own})
+    joined = given.join(cut, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_own") == F.col("_h")), "left")
+    return joined.withColumn("text", F.coalesce("_kept", F.col("text").cast("string"))).select(docs.columns)
