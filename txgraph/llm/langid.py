@@ -188,14 +188,14 @@ def fit(rows: DataFrame, s: Settings = Settings()) -> Model:
     shared = context.broadcast(idf)
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        weights = _idf = shared.value
+        own_idf = shared.value
         order = {lang: i for i, lang in enumerate(languages)}
         pdf = pdf.sort_values("doc_id", kind="stable")
         items = []
         for lang, rows_, tf in zip(pdf["lang"], pdf["rows"], pdf["tf"], strict=True):
             found = (np.frombuffer(rows_, "<u4").astype(np.int64), np.frombuffer(tf, np.float32))
             index = np.append(found[0], 1 << bits)
-            items.append((index, np.append(_vector(found, _idf), 0.1), order[lang]))
+            items.append((index, np.append(_vector(found, own_idf), 0.1), order[lang]))
         shuffle = np.random.default_rng(7).permutation(len(items))
         kept_back = set(shuffle[: len(items) // 5].tolist()) if len(items) >= 50 else set()
         model = Ftrl((1 << bits) + 1, len(languages), s)
