@@ -120,7 +120,7 @@ def profiles(given: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]
 
         def frequent() -> pa.RecordBatch:
             found, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= 8
+            often = counts >= 2
             n = int(often.sum())
             columns = [[None] * n] * 4 + [found[often].astype(np.int64), counts[often]]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -133,7 +133,7 @@ def profiles(given: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]
                 rows.append((uids[row], len(own), digest, parities(own).tobytes() if len(own) else b"", None, None))
                 held.append(own)
                 size += len(own)
-                if size >= FLUSH:
+                if size >= 2 * FLUSH:
                     yield frequent()
                     held, size = [], 0
             if rows:
