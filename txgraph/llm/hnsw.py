@@ -32,11 +32,12 @@ from txgraph.llm.components import components
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.98
-    shard_rows: int = 4096
+    margin: float = 0.02  # below the threshold, over which a search goes on
+    shard_rows: int = 8192
     links: int = 12  # per node on the upper levels; twice as many on the ground level
     build_beam: int = 48
     beam: int = 24
-    audit_rows: int = 128
+    audit_rows: int = 512
     audit_recall: float = 0.98
 
 
@@ -130,17 +131,24 @@ class Graph:
         if own > self.top:
             self.entry, self.top = node, own
 
-    def search(self, q: np.ndarray, beam: int | None = None) -> list[tuple[float, int]]:
-        """Nodes at or above the threshold; the beam grows while all of it is."""
-        beam = beam or self.beam
-        starts = [(float(self.v[self.entry] @ q), self.entry)]
-        for level in range(self.top, 0, -1):
-            starts = self._walk(q, starts, 1, level)
-        while True:
-            found = self._walk(q, starts, beam, 0)
-            if found[-1][0] < self.s.threshold or len(found) < beam or beam >= len(self.v):
-                return [x for x in found if x[0] >= self.s.threshold]
-            beam, starts = beam * 4, found
+    def search(self, q: np.ndarray) -> list[int]:
+        """Nodes at or above the threshold: a beam, widened over all that lies close to it."""
+        found = self._from_top(q)
+        bar = self.s.threshold - self.s.margin
+        frontier = [node for sim, node in found if sim >= bar]
+        out = [node for sim, node in found if sim >= self.s.threshold]
+        if not out:
+            return out
+        seen, near = {node for _, node in found}, self.near[0]
+        while frontier:
+            fresh = list({x for node in frontier for x in near[node]} - seen)
+            if not fresh:
+                break
+            seen.update(fresh)
+            sims = self.v[fresh] @ q
+            out += [fresh[i] for i in np.flatnonzero(sims >= self.s.threshold)]
+            frontier = [fresh[i] for i in np.flatnonzero(sims >= bar)]
+        return out
 
     def audit(self) -> float:
         """Double the beam until a sample's lookups find the links that brute force finds."""
@@ -148,21 +156,13 @@ class Graph:
         rows = np.unique(np.linspace(0, n - 1, min(n, self.s.audit_rows)).astype(int))
         truth = self.v[rows] @ self.v.T >= self.s.threshold
         truth[np.arange(len(rows)), rows] = False
-        # Few samples have links: the nearest other vector is to be found as well.
-        others = self.v[rows] @ self.v.T
-        others[np.arange(len(rows)), rows] = -2.0
-        nearest = others.argmax(axis=1)
+        linked = np.flatnonzero(truth.any(axis=1))
         while True:
             hits = wanted = 0
-            for i, row in enumerate(rows):
+            for i in linked:
                 links = set(np.flatnonzero(truth[i]).tolist())
-                found = {x for _, x in self.search(self.v[row])}
-                hits += len(links & found)
+                hits += len(links & set(self.search(self.v[rows[i]])))
                 wanted += len(links)
-                if not links and n > 1:
-                    walked = self._from_top(self.v[row])
-                    hits += others[i, nearest[i]] <= max((sim for sim, x in walked if x != row), default=-2.0) + 1e-12
-                    wanted += 1
             recall = hits / wanted if wanted else 1.0
             if recall >= self.s.audit_recall or self.beam >= n:
                 return recall
@@ -309,7 +309,7 @@ def search(held: DataFrame, s: Settings) -> DataFrame:
                 forest, reps, links, a, b = Forest(), [], [], [], []
                 for rep, q in zip(np.frombuffer(x["q_ids"], "<i8").tolist(), queries, strict=True):
                     total = 0
-                    for _, node in graph.search(q):
+                    for node in graph.search(q):
                         other = int(ids[node])
                         if other == rep and x["from_shard"] == x["shard"]:
                             continue
