@@ -85,3 +85,28 @@ def test_recall_of_a_graph_and_its_packed_form():
     found = sum(len(set(again.search(q)) & set(np.flatnonzero(truth[i]).tolist())) for i, q in enumerate(v))
     assert found >= 0.95 * truth.sum()
     assert all(truth[i, x] for i, q in enumerate(v[:50]) for x in again.search(q))
+
+
+def test_a_search_without_a_hit_goes_on_over_close_neighbours():
+    angles = np.radians([12.0, 15.0, -10.0])
+    graph = hnsw.Graph(np.column_stack([np.cos(angles), np.sin(angles)]), hnsw.Settings(beam=1))
+    graph.near, graph.entry, graph.top = [{0: [1], 1: [0, 2], 2: [1]}], 0, 0
+    assert graph.search(np.array([1.0, 0.0])) == [2]
+
+
+def test_audit_asks_for_links_and_nearest_vectors_of_other_shards():
+    rng = np.random.default_rng(5)
+    v = hnsw.unit(rng.normal(size=(200, 16)))
+    graph = hnsw.Graph(v, hnsw.Settings()).build()
+    assert graph.audit() >= 0.98 and graph.audit(hnsw.unit(rng.normal(size=(60, 16)))) >= 0.98
+    graph.near[0] = {node: [] for node in range(200)}
+    foreign = hnsw.unit(v[:40] + rng.normal(size=(40, 16)) * 0.01)
+    assert graph.audit() < 0.98 and graph.audit(foreign) < 0.98
+    assert [set(x) for x in graph.compare(foreign)] == [set(np.flatnonzero(v @ q >= 0.98).tolist()) for q in foreign]
+
+
+def test_poor_graphs_are_replaced_by_brute_force(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + rng.normal(size=16) * 0.07).tolist(), 1, "x") for i in range(240)]
+    check(spark, rows, hnsw.Settings(shard_rows=60, links=2, build_beam=1, beam=1, audit_recall=1.0))

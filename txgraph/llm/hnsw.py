@@ -2,10 +2,11 @@
 
 Vectors of one label are dealt to shards of bounded size; each shard gets a hierarchical
 navigable small-world graph. Every vector is looked up in every shard of its label. A search
-keeps a beam of candidates; after a graph is built, lookups of a sample are compared with brute
-force over the shard, and the beam is doubled until the audit passes. A single search also
-widens its beam as long as all of it lies above the threshold. Links are verified by cosine in
-double precision; each pair of shards hands on link counts and a spanning forest of its links,
+keeps a beam of candidates and goes on from all of them that lie close to the threshold. Before
+a shard's vectors are looked up in a shard, its own or another, the lookups of a sample of them
+are audited by brute force: for all links of a vector, and for its nearest vector if it has
+none. The beam is doubled until the audit passes; where it does not pass within a bound, the
+two shards are compared by brute force. Links are verified by cosine in double precision; each pair of shards hands on link counts and a spanning forest of its links,
 so the output stays linear in the vectors; the forests are united into components.
 
 Equal vectors of a label are one class, collapsed before and counted with their number.
@@ -39,6 +40,7 @@ class Settings:
     beam: int = 24
     audit_rows: int = 512
     audit_recall: float = 0.98
+    most_beam: int = 192  # up to which an audit doubles the beam
 
 
 class Graph:
@@ -137,8 +139,6 @@ class Graph:
         bar = self.s.threshold - self.s.margin
         frontier = [node for sim, node in found if sim >= bar]
         out = [node for sim, node in found if sim >= self.s.threshold]
-        if not out:
-            return out
         seen, near = {node for _, node in found}, self.near[0]
         while frontier:
             fresh = list({x for node in frontier for x in near[node]} - seen)
@@ -150,24 +150,42 @@ class Graph:
             frontier = [fresh[i] for i in np.flatnonzero(sims >= bar)]
         return out
 
-    def audit(self) -> float:
-        """Double the beam until a sample's lookups find the links that brute force finds."""
-        n = len(self.v)
-        rows = np.unique(np.linspace(0, n - 1, min(n, self.s.audit_rows)).astype(int))
-        truth = self.v[rows] @ self.v.T >= self.s.threshold
-        truth[np.arange(len(rows)), rows] = False
-        linked = np.flatnonzero(truth.any(axis=1))
+    def audit(self, queries: np.ndarray | None = None) -> float:
+        """Double the beam until a sample's lookups find what brute force finds; the recall.
+
+        The sample is taken from ``queries`` of another shard, or else from the graph's own
+        vectors, which are asked for the others. The recall is the lesser of two: of links, and
+        of the nearest vector for samples without links.
+        """
+        own = queries is None
+        asked = self.v if own else queries
+        rows = np.unique(np.linspace(0, len(asked) - 1, min(len(asked), self.s.audit_rows)).astype(int))
+        sims = asked[rows] @ self.v.T
+        if own:
+            sims[np.arange(len(rows)), rows] = -2.0
+        links = [set(np.flatnonzero(x >= self.s.threshold).tolist()) for x in sims]
+        nearest = sims.max(axis=1)
         while True:
-            hits = wanted = 0
-            for i in linked:
-                links = set(np.flatnonzero(truth[i]).tolist())
-                hits += len(links & set(self.search(self.v[rows[i]])))
-                wanted += len(links)
-            recall = hits / wanted if wanted else 1.0
-            if recall >= self.s.audit_recall or self.beam >= n:
+            hits = wanted = close = alone = 0
+            for row, known, best in zip(rows, links, nearest, strict=True):
+                if known:
+                    hits += len(known & set(self.search(asked[row])))
+                    wanted += len(known)
+                elif best > -2.0:
+                    walked = self._from_top(asked[row])
+                    close += best <= max((sim for sim, x in walked if not own or x != row), default=-2.0) + 1e-12
+                    alone += 1
+            recall = min(hits / wanted if wanted else 1.0, close / alone if alone else 1.0)
+            if recall >= self.s.audit_recall or self.beam >= min(len(self.v), self.s.most_beam):
                 return recall
             self.beam *= 2
 
+    def compare(self, queries: np.ndarray) -> Iterator[list[int]]:
+        """What ``search`` is to find for each query, by brute force."""
+        for at in range(0, len(queries), 256):
+            for sims in queries[at : at + 256] @ self.v.T:
+                yield np.flatnonzero(sims >= self.s.threshold).tolist()
+
     def _from_top(self, q: np.ndarray) -> list[tuple[float, int]]:
         starts = [(float(self.v[self.entry] @ q), self.entry)]
         for level in range(self.top, 0, -1):
@@ -251,7 +269,7 @@ def _given(vectors: DataFrame) -> DataFrame:
 
 
 def shards(found: DataFrame, s: Settings) -> DataFrame:
-    """One row per shard: its ids, counts, unit vectors and audited graph."""
+    """One row per shard: its ids, counts, unit vectors and graph."""
     sizes = found.groupBy("label", "dim").count()
     sizes = freeze(sizes.select("label", "dim", F.ceil(F.col("count") / s.shard_rows).cast("long").alias("of")))
     tasks = partitions_for(found.sparkSession, found.count(), s.shard_rows)
@@ -270,9 +288,7 @@ def shards(found: DataFrame, s: Settings) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if ids:
-                graph = Graph(unit(rows), s).build()
-                graph.audit()
-                links, vectors = graph.pack()
+                links, vectors = Graph(unit(rows), s).build().pack()
                 row = (*current, np.array(ids, "<i8").tobytes(), np.array(counts, "<i8").tobytes(), vectors, links)
                 yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
 
@@ -306,12 +322,15 @@ def search(held: DataFrame, s: Settings) -> DataFrame:
                 graph = Graph.unpack(x["graph"], x["vectors"], x["dim"], s)
                 ids, counts = np.frombuffer(x["ids"], "<i8"), np.frombuffer(x["counts"], "<i8")
                 queries = np.frombuffer(x["q_vectors"], "<f8").reshape(-1, x["dim"])
+                own = x["from_shard"] == x["shard"]
+                passed = graph.audit(None if own else queries) >= s.audit_recall
+                answers = map(graph.search, queries) if passed else graph.compare(queries)
                 forest, reps, links, a, b = Forest(), [], [], [], []
-                for rep, q in zip(np.frombuffer(x["q_ids"], "<i8").tolist(), queries, strict=True):
+                for rep, nodes in zip(np.frombuffer(x["q_ids"], "<i8").tolist(), answers, strict=True):
                     total = 0
-                    for node in graph.search(q):
+                    for node in nodes:
                         other = int(ids[node])
-                        if other == rep and x["from_shard"] == x["shard"]:
+                        if other == rep and own:
                             continue
                         total += int(counts[node])
                         if forest.add(rep, other):
