@@ -53,7 +53,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document in bins of 2048 words: (doc_id, piece, n_tokens, bin_id, start)."""
-    return packing.pack(docs, capacity=2048, per_source=4)
+    return packing.pack_apart(docs, capacity=2048, per_source=4)
 
 
 STAGES = [

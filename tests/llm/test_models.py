@@ -1,4 +1,5 @@
 import random
+import tempfile
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -118,3 +119,28 @@ def test_packed_documents(spark, make_docs, odd_rows):
     assert held.where("bin_id NOT LIKE 'f%'").groupBy("bin_id", "source").count().where("count > 2").count() == 0
     same = got.where("doc_id IN (901, 902)").select("bin_id").distinct().count()
     assert same == 2 and packing.pack(docs.where("false")).count() == 0
+
+
+def test_near_copies_never_share_a_bin(spark, make_docs):
+    """Groups of near copies in documents of unique, repeated and null ids, from one source or more."""
+    import re
+
+    from txgraph.llm.queries import QUERIES
+
+    rng = random.Random(6)
+    rows = []
+    for group in range(12):
+        words = [f"g{group}w{rng.randint(0, 10**6)}" for _ in range(60)]
+        for copy in range(4):
+            changed = [*words[:-1], f"end{copy}"]
+            text = " ".join(changed).upper() if copy == 1 else ("  " if copy == 2 else " ").join(changed)
+            rows.append((None if group == 3 else 7 if group == 4 else len(rows) + 100, text, "en", f"s{copy % 2}"))
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    docs = make_docs(rows)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = QUERIES["op5_packing"](spark, folder).collect()
+    assert len(got) == len(rows)
+    told = {i: re.match(r"g(\d+)w", t.lower()).group(1) for i, t, *_ in rows if i not in (None, 7)}
+    told |= {None: "3", 7: "4"}
+    bins = [(r.bin_id, told[r.doc_id]) for r in got]
+    assert len(bins) == len(set(bins)) and len({b for b, _ in bins}) < len(bins)

@@ -11,7 +11,8 @@ cluster or source spread over all shards, so no hot group meets in one.
 
 Tokens are words: runs of bytes above 0x20 in the UTF-8 text. Null and empty texts have no
 tokens and no bin (one row with null bin). A null source never conflicts. Repeated rows are
-packed one by one; they share a cluster, so never a bin. Ties go by input order.
+packed one by one; they share a cluster, so never a bin. ``pack_apart`` takes near copies
+(components of the Jaccard join) as clusters. Ties go by input order.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txgraph.llm import parity
 from txgraph.llm.common import chunks, freeze, partitions_for
 
 OUT = "doc_id long, piece int, n_tokens long, bin_id string, start long"
@@ -104,12 +106,14 @@ def pack(
     per_source: int = 4,
     shard_rows: int = 8192,
     cluster: str | None = None,
+    clusters: DataFrame | None = None,
 ) -> DataFrame:
     """(doc_id, piece, n_tokens, bin_id, start) of every piece of every document.
 
-    ``cluster`` names a column with the duplicate cluster; else equal texts are a cluster.
+    ``cluster`` names a column with the duplicate cluster; ``clusters`` is a table of them by
+    document, as ``parity.clusters`` gives it. Without either, equal texts are a cluster.
     """
-    same = F.col(cluster).cast("long") if cluster else F.xxhash64(F.col("text").cast("string"))
+    same = F.col(cluster).cast("long") if cluster else F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
@@ -117,6 +121,10 @@ def pack(
         F.col("text").cast("string").alias("text"),
     )
     counted = freeze(word_counts(given).withColumn("row", F.monotonically_increasing_id()))
+    if clusters is not None:  # by null-safe id and hash of the text, which the column holds so far
+        told = clusters.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "component")
+        joined = counted.join(told, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cluster") == F.col("h")))
+        counted = freeze(joined.select("doc_id", "source", F.col("component").alias("cluster"), "n_tokens", "row"))
     shards = -(-counted.count() // shard_rows)
     whole = (F.col("n_tokens") / capacity).cast("long")
     name = F.concat(F.lit("f"), F.col("row").cast("string"), F.lit("-"), F.col("piece").cast("string"))
@@ -149,3 +157,8 @@ def pack(
     packed = rest.repartition(tasks, "shard").groupBy("shard").applyInPandas(run, OUT.replace("doc_id long", "doc_id string"))
     packed = packed.withColumn("doc_id", F.col("doc_id").cast("long"))
     return full.unionByName(none).unionByName(packed)
+
+
+def pack_apart(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 8192) -> DataFrame:
+    """``pack`` with the components of near copies as duplicate clusters."""
+    return pack(docs, capacity, per_source, shard_rows, clusters=parity.clusters(docs))

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txgraph.llm.common import chunks, freeze, numbered, partitions_for, small
@@ -433,8 +433,12 @@ def _strays(stars: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
     return stars.join(hub, "hub").join(x, "x").where("c <> d").select("hub", "x")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def clusters(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, uid, n_shingles, component, component_id) of each document, once.
+
+    ``doc_id`` (which may be null) and ``text_hash`` are the key of a document; ``uid`` is its number,
+    ``component`` the one of its representative and ``component_id`` the representative's id.
+    """
     given, numbers = numbered(docs)
     told, frequent = profiles(given)
     first = freeze(told.groupBy("digest").agg(F.min("uid").alias("first")))
@@ -452,13 +456,25 @@ def join(docs: DataFrame) -> DataFrame:
         "uid", F.col("n").alias("n_shingles"), F.coalesce("component", "first").alias("component")
     )
     if numbers is None:
-        rows = rows.select(F.col("uid").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
-        if told.count() < docs.count():  # equal rows: each gets the result
-            rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(rows, "doc_id")
-        return rows
-    named = numbers.select(F.col("uid").alias("component"), F.col("d").alias("component_id"))
-    rows = rows.join(named, "component").join(numbers, "uid")
-    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("th"))
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))
-    return wanted.join(rows, same).select("doc_id", "n_shingles", "component_id")
+        keys = given.select("uid", F.xxhash64("text").alias("text_hash")).distinct()
+        rows = rows.join(keys, "uid").withColumns({"doc_id": F.col("uid"), "component_id": F.col("component")})
+    else:
+        named = numbers.select(F.col("uid").alias("component"), F.col("d").alias("component_id"))
+        keys = numbers.select("uid", F.col("d").alias("doc_id"), F.col("h").alias("text_hash"))
+        rows = rows.join(named, "component").join(keys, "uid")
+    return freeze(rows.select("doc_id", "text_hash", "uid", "n_shingles", "component", "component_id"))
+
+
+def row_key() -> list[Column]:
+    """The key of ``clusters`` for a row of documents, as (d, h)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [F.col("doc_id").cast("long").alias("d"), F.xxhash64(text).alias("h")]
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    rows = clusters(docs)
+    if rows.count() < docs.count():  # equal rows: each gets the result
+        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+        rows = docs.select(*row_key()).join(rows, same)
+    return rows.select("doc_id", "n_shingles", "component_id")

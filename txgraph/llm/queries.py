@@ -70,8 +70,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in bins of 2048 words: no two of a cluster, four of a source at most."""
-    return packing.pack(read_table(spark, sf_dir, "documents"), capacity=2048, per_source=4)
+    """Every document in bins of 2048 words: no two near copies, four of a source at most."""
+    return packing.pack_apart(read_table(spark, sf_dir, "documents"), capacity=2048, per_source=4)
 
 
 @query
