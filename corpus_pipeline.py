@@ -32,13 +32,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of smallest id; equal rows once."""
-    found = freeze(parity.join(docs))
-    gone = freeze(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
-    kept = docs.join(small(gone, gone.count()), F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
-    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One document of each group of near copies: the one of smallest id, null last; equal rows once."""
+    found = parity.clusters(docs)
+    gone = freeze(found.where("uid <> component").select(F.col("doc_id").alias("gone"), F.col("text_hash").alias("gone_hash")))
+    doc_id, text_hash = parity.row_key()
+    same = doc_id.eqNullSafe(F.col("gone")) & (text_hash == F.col("gone_hash"))
+    kept = docs.join(small(gone, gone.count()), same, "left_anti")
+    return kept if found.count() == docs.count() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,3 +33,19 @@ def test_names():
         "language_id", "jaccard_join", "suffix_dedup", "pii", "packing",
     ]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_copies_of_shared_and_null_ids(spark, make_docs):
+    """A clean text stays though its id is also that of a near copy; near copies of one id or none go."""
+
+    def text(name, end):
+        return " ".join([f"{name}{i}" for i in range(60)] + [end])
+
+    rows = [(3, text("b", "x")), (7, text("a", "x")), (7, text("b", "y")), (9, text("c", "x")), (9, text("c", "y"))]
+    rows += [(None, text("d", "x")), (None, text("d", "y")), (None, text("e", "x")), (None, text("b", "z"))]
+    rows += [(11, text("f", "x")), (11, text("f", "x")), (12, None), (13, "")]
+    kept = corpus_pipeline.jaccard_join(spark, make_docs(rows), SF)
+    got = [(r.doc_id, (r.text or "-")[0]) for r in kept.collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(3, "b"), (7, "a"), (9, "c"), (None, "d"), (None, "e"), (11, "f"), (12, "-"), (13, "-")], key=repr
+    )

@@ -466,9 +466,9 @@ def clusters(docs: DataFrame) -> DataFrame:
 
 
 def row_key() -> list[Column]:
-    """The key of ``clusters`` for a row of documents, as (d, h)."""
+    """The key of ``clusters`` for a row of documents: its id and the hash of its text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return [F.col("doc_id").cast("long").alias("d"), F.xxhash64(text).alias("h")]
+    return [F.col("doc_id").cast("long"), F.xxhash64(text)]
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -476,5 +476,6 @@ def join(docs: DataFrame) -> DataFrame:
     rows = clusters(docs)
     if rows.count() < docs.count():  # equal rows: each gets the result
         same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
-        rows = docs.select(*row_key()).join(rows, same)
+        doc_id, text_hash = row_key()
+        rows = docs.select(doc_id.alias("d"), text_hash.alias("h")).join(rows, same)
     return rows.select("doc_id", "n_shingles", "component_id")
