@@ -144,3 +144,31 @@ def test_near_copies_never_share_a_bin(spark, make_docs):
     told |= {None: "3", 7: "4"}
     bins = [(r.bin_id, told[r.doc_id]) for r in got]
     assert len(bins) == len(set(bins)) and len({b for b, _ in bins}) < len(bins)
+
+
+def test_metadata_values_are_hashed_whole():
+    pairs = [quality.meta_features(lang, "some.host.example.org", 9)[3] for lang in ("en", "de", "fr", "es")]
+    hosts = [quality.meta_features("en", f"{x}.host.example.org", 9)[1] for x in "abcdefgh"]
+    assert len(set(pairs)) == 4 and len(set(hosts)) == 8
+
+
+def test_pseudo_labels_come_from_all_documents(spark, make_docs):
+    """Few labels and take per round: each choice is the surest of all unlabelled documents, in new rounds new ones."""
+    rows = [(i, ("good words here " if i % 2 else "bad junk !! 11 ") * 5 + f"x{i}", "en", f"s{i % 2}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    asked = []
+    plain = quality.surest
+
+    def told(pool, *rest):
+        found = plain(pool, *rest)
+        asked.append((pool.count(), {x[0] for x in found}))
+        return found
+
+    quality.surest = told
+    try:
+        quality.fit(make_docs(rows), labels, quality.Settings(rounds=3, take=20, sure=0.6))
+    finally:
+        quality.surest = plain
+    outside = make_docs(rows).where(langid.fold() != 0).count()
+    assert len(asked) == 3 and all(n == outside for n, _ in asked)
+    assert all(0 < len(x) <= 40 for _, x in asked) and len(set().union(*(x for _, x in asked))) == sum(len(x) for _, x in asked)

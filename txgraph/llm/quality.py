@@ -2,12 +2,12 @@
 
 The text view sees hashed words, hashed triples of character classes and some ratios; the
 metadata view sees language, source and stated length. Both start from the labelled documents.
-In each round a view labels the pool documents it is most sure of, and the other view learns
-from them. Each view is then calibrated (Platt) on labelled documents kept back, and the
+In each round all unlabelled documents are scored, a view labels those it is most sure of, and
+the other view learns from them. Each view is then calibrated (Platt) on labelled documents kept back, and the
 calibrated log-odds are combined by a logistic fit on the same documents.
 
-Fitting uses a bounded sample: ``per_class`` labelled documents of each class and ``pool``
-unlabelled ones, chosen by hash. Scores are given for every document.
+Fitting uses bounded rows: ``per_class`` labelled documents of each class, chosen by hash, and the
+``take`` surest of all others per round and view. Scores are given for every document.
 
 Null texts count as empty, null metadata is a value of its own. Labels other than 0 and 1 are
 left out; a document with several labels has the more frequent one, 1 if equal. Without labels
@@ -16,6 +16,7 @@ of both classes every score is the share of ones, or one half if there is none.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +40,6 @@ TEXT_FEATURES = (1 << WORD_BITS) + (1 << CLASS_BITS) + RATIOS * BUCKETS + 1
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 3000
-    pool: int = 6000
     rounds: int = 4
     take: int = 600  # pseudo-labels a view gives per round, in proportion to the classes
     sure: float = 0.97
@@ -101,7 +101,7 @@ def meta_features(lang: str | None, source: str | None, n_chars: int | None) ->
     """Hashed metadata: each value alone and in pairs, and the bias (the last feature)."""
     size = -1 if n_chars is None else int(2 * np.log2(max(1, n_chars) + 1))
     names = [f"l{lang!r}", f"s{source!r}", f"n{size}", f"{lang!r}|{source!r}", f"{lang!r}|{size}"]
-    codes = [int.from_bytes(x.encode("utf-8")[-8:], "big") + 31 * len(x) for x in names]
+    codes = [int.from_bytes(hashlib.blake2b(x.encode("utf-8"), digest_size=8).digest(), "big") for x in names]
     hashed = mix(np.array(codes, dtype=np.uint64)) >> np.uint64(64 - META_BITS)
     return np.append(hashed.astype(np.int64), 1 << META_BITS)
 
@@ -166,10 +166,7 @@ def co_train(
     share = sum(labels.values()) / max(1, len(labels))
     left = set(pool)
     for turn in range(s.rounds + 1):
-        calibrations = []
-        for view, own in zip(views, given, strict=True):
-            view.fit(own, s.epochs)
-            calibrations.append(_logistic(view.margins(seen[0])[:, None], seen[1]))
+        calibrations = _fit_views(views, given, seen, s)
         if turn == s.rounds or not left:
             break
         for teacher, calibration, pupil in zip(views, calibrations, reversed(given), strict=True):
@@ -180,12 +177,59 @@ def co_train(
                 for i in best[sure[best] >= s.sure]:
                     pupil[open_[i]] = label
                     left.discard(open_[i])
+    return _combined(views, calibrations, seen)
+
+
+def _fit_views(views: tuple, given: tuple, seen: tuple, s: Settings) -> list[np.ndarray]:
+    """Fit each view to its labels; their calibrations on the documents kept back."""
+    for view, own in zip(views, given, strict=True):
+        view.fit(own, s.epochs)
+    return [_logistic(view.margins(seen[0])[:, None], seen[1]) for view in views]
+
+
+def _combined(views: tuple, calibrations: list[np.ndarray], seen: tuple) -> np.ndarray:
     odds = np.column_stack(
         [v.margins(seen[0]) * c[0] + c[1] for v, c in zip(views, calibrations, strict=True)]
     )
     return np.concatenate([*calibrations, _logistic(odds, seen[1])])
 
 
+def surest(pool: DataFrame, known: DataFrame, taken: DataFrame, model: tuple, share: float, s: Settings) -> list:
+    """(key, pupil, y): what each view is surest of among all unlabelled documents not taken yet."""
+    shared = pool.sparkSession.sparkContext.broadcast(model)  # fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, meta = (np.frombuffer(x, np.float32) for x in shared.value[:2])
+        a = shared.value[2]
+        for batch in batches:
+            odds = np.zeros((batch.num_rows, 2))
+            for i, used, values, found in _rows(batch):
+                odds[i] = _margin(text, used, values), 0.4 * float(meta[found].sum())
+            p = _sigmoid(odds * [a[0], a[2]] + [a[1], a[3]])
+            row, teacher = np.nonzero(np.maximum(p, 1 - p) >= s.sure)
+            mine = p[row, teacher]
+            y = (mine >= 0.5).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(j).take(pa.array(row)) for j in (0, 5)]
+                + [pa.array((1 - teacher).astype(np.int32)), pa.array(y), pa.array(np.maximum(mine, 1 - mine))],
+                names=["doc_id", "key", "pupil", "y", "sure"],
+            )
+
+    told = pool.mapInArrow(run, "doc_id long, key long, pupil int, y int, sure double")
+    told = freeze(told.join(known.select("doc_id"), "doc_id", "left_anti").join(F.broadcast(taken), "key", "left_anti"))
+    found: dict[int, tuple[int, int]] = {}
+    for pupil in (1, 0):  # the text view chooses first
+        for y, part in ((1, share), (0, 1 - share)):
+            most = max(1, int(s.take * part))
+            best = told.where((F.col("pupil") == pupil) & (F.col("y") == y)).select("key", "sure").distinct()
+            if pupil == 0 and found:
+                before = pool.sparkSession.createDataFrame([(k,) for k in found], "key long")
+                best = best.join(F.broadcast(before), "key", "left_anti")
+            for row in best.orderBy(F.desc("sure"), "key").limit(most).collect():
+                found.setdefault(row.key, (pupil, y))
+    return [(key, *x) for key, x in found.items()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[bytes, bytes, list[float]]:
     """Weights of the text view and the metadata view, and the seven calibration numbers."""
     known = (
@@ -194,7 +238,6 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[b
         .agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
     )
     given = _given(docs).where(F.col("doc_id").isNotNull() & (fold() != 0))
-    total = given.count()
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(sizes) < 2:
         p = 0.5 if not sizes else min(0.999, max(0.001, float(next(iter(sizes)))))
@@ -204,49 +247,68 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[b
     rate = F.when(F.col("y") == 1, min(1.0, s.per_class / sizes[1])).otherwise(min(1.0, s.per_class / sizes[0]))
     # Bounded by the settings, so a broadcast; texts stay where they are read.
     labelled = given.join(F.broadcast(freeze(known.where(draw < rate))), "doc_id")
-    fresh = F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1_000_000)) / 1e6
-    pool = given.where(fresh < min(1.0, s.pool / max(1, total))).join(known, "doc_id", "left_anti")
-    sample = labelled.unionByName(pool.withColumn("y", F.lit(-1)))
+    pool = given.withColumn("key", F.xxhash64("doc_id", "text", "lang", "source", "n_chars"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "y", "used", "values", "meta"]
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["doc_id", "y", "pupil", "used", "values", "meta"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         for batch in batches:
-            doc_id, y = batch.column(0).to_pylist(), batch.column(5).to_pylist()
+            doc_id, y, pupil = (batch.column(j).to_pylist() for j in (0, 5, 6))
             out = [
-                (doc_id[i], y[i], used.astype("<i4").tobytes(), values.astype("<f4").tobytes(), meta.astype("<i4").tobytes())
+                (doc_id[i], y[i], pupil[i], used.astype("<i4").tobytes(), values.astype("<f4").tobytes(), meta.astype("<i4").tobytes())
                 for i, used, values, meta in _rows(batch)
             ]
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
+            columns = list(zip(*out, strict=True)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "y"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["doc_id", "y", "pupil"], kind="stable").reset_index(drop=True)
         text = View(
             [(np.frombuffer(u, "<i4"), np.frombuffer(v, "<f4").astype(float)) for u, v in zip(pdf["used"], pdf["values"], strict=True)],
             TEXT_FEATURES,
         )
         meta = View([(np.frombuffer(m, "<i4"), np.full(len(m) // 4, 0.4)) for m in pdf["meta"]], (1 << META_BITS) + 1)
-        known_ = {i: int(y) for i, y in enumerate(pdf["y"]) if y >= 0}
+        known_ = {i: int(y) for i, y in enumerate(pdf["y"]) if pdf["pupil"][i] < 0}
         checks = {i: y for n, (i, y) in enumerate(known_.items()) if n % 4 == 3}
         labels_ = {i: y for i, y in known_.items() if i not in checks} or known_
-        numbers = co_train(text, meta, labels_, checks or known_, [i for i, y in enumerate(pdf["y"]) if y < 0], s)
+        checks = checks or known_
+        taught = [{i: int(y) for i, y in enumerate(pdf["y"]) if pdf["pupil"][i] == pupil} for pupil in (0, 1)]
+        seen = ([*checks], np.array([*checks.values()], dtype=float))
+        calibrations = _fit_views((text, meta), tuple(labels_ | x for x in taught), seen, s)
+        numbers = _combined((text, meta), calibrations, seen)
+        numbers = np.append(numbers, sum(labels_.values()) / len(labels_))
         return pd.DataFrame(
             {"text": [text.weights.tobytes()], "meta": [meta.weights.tobytes()], "numbers": [numbers.tolist()]}
         )
 
-    # The sample is bounded by its settings, so one task may fit both views.
-    rows = (
-        sample.select("doc_id", "text", "lang", "source", "n_chars", "y")
-        .mapInArrow(features, "doc_id long, y int, used binary, values binary, meta binary")
-        .groupBy(F.lit(0).alias("all"))
-        .applyInPandas(lambda pdf: train(pdf), "text binary, meta binary, numbers array<double>")
-        .collect()
-    )
-    if not rows:
-        zero = np.zeros(TEXT_FEATURES, np.float32), np.zeros((1 << META_BITS) + 1, np.float32)
-        return zero[0].tobytes(), zero[1].tobytes(), [0.0] * 7
-    return bytes(rows[0].text), bytes(rows[0].meta), list(rows[0].numbers)
+    def featured(rows: DataFrame) -> DataFrame:
+        columns = rows.select("doc_id", "text", "lang", "source", "n_chars", "y", "pupil")
+        return freeze(columns.mapInArrow(features, "doc_id long, y int, pupil int, used binary, values binary, meta binary"))
+
+    spark = docs.sparkSession
+    sample = featured(labelled.withColumn("pupil", F.lit(-1)))
+    taken: list[tuple[int, int, int]] = []  # at most 2 * take a round
+    for turn in range(s.rounds + 1):
+        # The rows are bounded by the settings, so one task may fit both views.
+        rows = (
+            sample.groupBy(F.lit(0).alias("all"))
+            .applyInPandas(lambda pdf: train(pdf), "text binary, meta binary, numbers array<double>")
+            .collect()
+        )
+        if not rows:
+            zero = np.zeros(TEXT_FEATURES, np.float32), np.zeros((1 << META_BITS) + 1, np.float32)
+            return zero[0].tobytes(), zero[1].tobytes(), [0.0] * 7
+        model = bytes(rows[0].text), bytes(rows[0].meta), list(rows[0].numbers)[:7]
+        if turn == s.rounds:
+            break
+        before = spark.createDataFrame([x[:1] for x in taken], "key long")
+        fresh = surest(pool, known, before, model, rows[0].numbers[7], s)
+        if not fresh:
+            break
+        taken += fresh
+        chosen = F.broadcast(spark.createDataFrame(fresh, "key long, pupil int, y int"))
+        sample = sample.unionByName(featured(pool.join(chosen, "key").dropDuplicates(["key"])))
+    return model
 
 
 def _given(docs: DataFrame) -> DataFrame:
