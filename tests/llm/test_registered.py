@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES if q != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES if q != "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

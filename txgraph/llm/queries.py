@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from txgraph.llm import bpe, hnsw, langid, packing, parity, pii, quality, suffix, topk, warc
+from txgraph.llm import (
+    bpe,
+    dialogue,
+    hnsw,
+    langid,
+    packing,
+    parity,
+    pii,
+    quality,
+    rules,
+    suffix,
+    topk,
+    vafile,
+    warc,
+)
 from txgraph.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +193,201 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors around 16 centroids after three rounds over a VA-file."""
+    return vafile.cluster(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64)
+
+
+def _kmeans_round(n: int) -> str:
+    return f"""
+near{n} AS (
+  SELECT v.row, v.vec_id, v.v, arg_min(c.c, {{'d': list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c.c}}) AS c,
+    min(list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d
+  FROM kept v CROSS JOIN cent{n} c GROUP BY v.row, v.vec_id, v.v
+), sums{n} AS (
+  SELECT c, list(s ORDER BY i) AS v FROM (
+    SELECT c, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS s
+    FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{n}) GROUP BY c, i) GROUP BY c
+), cent{n + 1} AS (
+  SELECT c.c, coalesce(s.v, c.v)::HUGEINT[] AS v FROM cent{n} c LEFT JOIN sums{n} s ON s.c = c.c
+)"""
+
+
+ORACLE["op11_vafile"] = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), cent0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::INTEGER AS c, v
+  FROM kept ORDER BY c LIMIT 16
+), {", ".join(_kmeans_round(n) for n in range(4))}
+SELECT vec_id, c AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia,
+  (SELECT sha256(array_to_string(f.v, ',')) FROM cent3 f WHERE f.c = near3.c) AS centroid_sha256
+FROM near3
+"""
+
+
+@query
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word and line counts, base rules, and rules with cutoffs certified per language."""
+    judged = rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+_GRID = "\n  UNION ALL ".join(
+    f"SELECT '{r.name}' AS rule, unnest(generate_series({r.cutoffs[0]}, {r.cutoffs[-1]}, {r.cutoffs.step}))::BIGINT AS cutoff"
+    for r in rules.RULES
+)
+_VALUES = "\n  UNION ALL ".join(
+    f"SELECT row, doc_id, stratum, base_failed, {', '.join(rules.COUNTS)}, '{r.name}' AS rule, "
+    f"least(1000 * {r.over} // greatest({r.under}, 1), {max(r.cutoffs) + 1}) AS value FROM counted"
+    for r in rules.RULES
+)
+
+ORACLE["op12_rules"] = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, lang AS stratum, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), windows AS (
+  SELECT row, i, w[i:i + 2] AS s FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) > 2)
+), twice AS (
+  SELECT row, unnest([i, i + 1, i + 2]) AS pos
+  FROM (SELECT row, i, count(*) OVER (PARTITION BY row, s) AS n FROM windows) WHERE n > 1
+), repeated AS (SELECT row, count(DISTINCT pos) AS n FROM twice GROUP BY row
+), counted AS (
+  SELECT s.row, doc_id, stratum, len(w)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    len(w) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(w) AS base_failed
+  FROM split s LEFT JOIN repeated r ON r.row = s.row
+), valued AS ({_VALUES}
+), good AS (
+  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1
+), held AS (
+  SELECT DISTINCT doc_id, stratum, rule, value, {', '.join(rules.COUNTS)}
+  FROM valued WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)
+), grid AS ({_GRID}
+), tests AS (
+  SELECT stratum, h.rule, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS k
+  FROM held h JOIN grid g ON g.rule = h.rule GROUP BY ALL
+), tails AS (
+  SELECT stratum, rule, cutoff, CASE WHEN k >= 0.02 * n THEN 1 ELSE
+    list_sum(list_transform(generate_series(0, k), lambda j:
+      exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.02) + (n - j) * ln(0.98)))) END AS p
+  FROM tests
+), chosen AS (
+  SELECT stratum, rule, min(cutoff) AS cutoff FROM tails
+  WHERE p <= 0.05 / (SELECT count(*) * {len(rules.RULES)} FROM (SELECT DISTINCT stratum FROM held)) GROUP BY ALL
+), verdict AS (
+  SELECT v.row, coalesce(bool_or(value > cutoff), false) AS rejected
+  FROM valued v LEFT JOIN chosen c ON c.rule = v.rule AND c.stratum IS NOT DISTINCT FROM v.stratum GROUP BY v.row
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT rejected AS kept
+FROM counted JOIN verdict ON verdict.row = counted.row
+"""
+
+
+@query
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of the damaged conversations and the cheapest repair of each."""
+    damaged = dialogue.damage(read_table(spark, sf_dir, "conversations"))
+    return dialogue.report(damaged, dropped="gone")
+
+
+def _steps_sql() -> str:
+    rows = [
+        f"('{initial}', {forced}, {before}, {after}, {cost}, '{dialogue._letters(digits):<2}')"
+        for (initial, forced, cut), steps in dialogue.STEPS.items()
+        if not cut
+        for before, after, cost, digits in steps
+    ]
+    return ", ".join(rows)
+
+
+ORACLE["op13_dialogue"] = rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda ch: [ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 20 AS lot
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE lot WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE lot WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM given WHERE lot <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos FROM damaged
+), told AS (
+  SELECT *, left(role, 1) AS initial, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), rows AS (
+  SELECT conv_id, pos, turn, role, text, before || initial AS pair,
+    CASE WHEN initial IN ('s', 'u', 'a') THEN initial ELSE '' END AS initial,
+    body = '' AS blank, body <> '' AND again AS duplicate,
+    body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM told
+), steps(initial, forced, before, after, cost, letters) AS (VALUES {_steps_sql()}
+), every AS (SELECT DISTINCT conv_id FROM conversations
+), way AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS state, 0::BIGINT AS cost, '' AS letters FROM every
+  UNION ALL
+  SELECT conv_id, pos, state, best.cost, best.letters FROM (
+    SELECT w.conv_id, r.pos, s.after AS state,
+      min({{'cost': w.cost + s.cost + CASE WHEN r.truncated AND trim(s.letters) <> 'D' THEN 3 ELSE 0 END,
+           'letters': w.letters || s.letters}}) AS best
+    FROM way w JOIN rows r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1
+      JOIN steps s ON s.initial = r.initial AND s.forced = (r.blank OR r.duplicate) AND s.before = w.state
+    GROUP BY w.conv_id, r.pos, s.after)
+), ended AS (
+  SELECT e.conv_id, min({{'cost': w.cost + CASE state WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END,
+    'letters': w.letters || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I ' ELSE '  ' END}}) AS best, max(w.pos) AS n
+  FROM every e JOIN way w ON w.conv_id IS NOT DISTINCT FROM e.conv_id
+    AND w.pos = (SELECT count(*) FROM rows r WHERE r.conv_id IS NOT DISTINCT FROM e.conv_id)
+  GROUP BY e.conv_id
+), actions AS (
+  SELECT conv_id, slot, half, substr(letters, 2 * slot - 1 + half, 1) AS action
+  FROM (SELECT conv_id, best.letters AS letters, unnest(range(1, n + 2)) AS slot FROM ended) CROSS JOIN (VALUES (0), (1)) h(half)
+), kept AS (
+  SELECT a.conv_id, slot, half, action, role, text,
+    row_number() OVER (PARTITION BY a.conv_id ORDER BY slot, half) AS nth
+  FROM actions a LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM a.conv_id AND r.pos = a.slot
+  WHERE action IN ('I', 'K', 'R')
+), named AS (
+  SELECT *, nth - CASE WHEN first_value(action || left(coalesce(role, ''), 1)) OVER (PARTITION BY conv_id ORDER BY nth) = 'Ks'
+    THEN 1 ELSE 0 END AS turn_no
+  FROM kept
+), repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN action = 'K' THEN role WHEN turn_no % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN action = 'I' THEN '' ELSE text END, chr(10) ORDER BY nth) AS t
+  FROM named GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, (max(turn) - min(turn) + 1 - count(DISTINCT turn))::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.best.cost AS cost,
+  replace(e.best.letters, ' ', '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+  LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents; its last stage's rows."""
