@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tests.fixtures import one_graph, ring_window, shared_device_window, transactions
 from txgraph.operators import graph as G
 from txgraph.operators.betweenness import betweenness
-from txgraph.operators.communities import greedy_colours, propagate_labels
+from txgraph.operators import communities
+from txgraph.operators.communities import colour_rounds, greedy_colours, propagate_labels
 from txgraph.operators.components import component_sizes, connected_components
 from txgraph.operators.features import graph_features
 from txgraph.operators.pagerank import pagerank
@@ -277,8 +278,9 @@ def test_graph_operators_against_brute_force(spark, randoms, hub_degree):
     plain, tx = randoms
     graph = G.build_graph(tx, hub_min_degree=hub_degree, busy_min_rows=hub_degree)
     assert (graph.hubs is None) == (hub_degree > 100)
-    colours = by_id(graph, greedy_colours(graph), "colour")
+    colours = by_id(graph, greedy_colours(graph, heavy_min_rows=hub_degree), "colour")
     labels = by_id(graph, propagate_labels(graph), "label")
+    swept = by_id(graph, propagate_labels(graph, kernel_arcs=0), "label")
     parts = connected_components(graph, heavy_min_rows=hub_degree)
     sizes = by_id(graph, parts.join(component_sizes(parts), ["graph_id", "component"]), "component_size")
     kernel = by_id(graph, betweenness(graph), "betweenness")
@@ -290,6 +292,7 @@ def test_graph_operators_against_brute_force(spark, randoms, hub_degree):
         assert {n: colours[(gid, n)] for n in p.nodes} == want
         want = p.labels()
         assert {n: labels[(gid, n)] for n in p.nodes} == want
+        assert {n: swept[(gid, n)] for n in p.nodes} == want
         want = p.component_sizes()
         assert {n: sizes[(gid, n)] for n in p.nodes} == want
         want = p.between(p.nodes, 1.0)
@@ -328,3 +331,29 @@ def test_long_path_components(spark):
     graph = G.build_graph(one_graph(transactions(spark, rows)))
     parts = connected_components(graph, max_rounds=12)
     assert parts.select("component").distinct().count() == 1
+
+
+def test_colouring_a_long_chain(spark):
+    """Nodes in a row, all of degree 2, seen in order: the colours of a chain of 400 nodes depend
+    on each other from end to end, yet the rounds follow its logarithm."""
+    rows = [(f"T{i:04d}", f"A{i}", f"D{(i + 1) // 2}", f"M{i // 2}", 1.0, i) for i in range(200)]
+    plain = Plain(rows)
+    graph = G.build_graph(one_graph(transactions(spark, rows)))
+    assert colour_rounds(graph) <= 14
+    assert by_id(graph, greedy_colours(graph), "colour") == {(0, n): c for n, c in plain.colours().items()}
+
+
+@pytest.mark.parametrize("hub_degree", [10**9, 12])
+def test_frontier_sweeps(spark, monkeypatch, randoms, hub_degree):
+    """With the frontier from the second sweep on, labels are the same and few nodes are asked."""
+    monkeypatch.setattr(communities, "FRONTIER_SHARE", 1)
+    chain = [(f"T{i:04d}", f"A{i // 2}", f"D{(i + 1) // 2}", f"M{i // 2}", 1.0, i) for i in range(120)]
+    plain = {1: randoms[0][1], 99: Plain(chain)}
+    tx = one_graph(transactions(spark, chain), 99).withColumn("tx_id", F.concat(F.lit("99-"), "tx_id"))
+    graph = G.build_graph(randoms[1].where("graph_id = 1").unionByName(tx), hub_min_degree=hub_degree)
+    assert (graph.hubs is None) == (hub_degree > 100)
+    trace = []
+    got = by_id(graph, propagate_labels(graph, kernel_arcs=0, trace=trace), "label")
+    for gid, p in plain.items():
+        assert {n: got[(gid, n)] for n in p.nodes} == p.labels()
+    assert any(frontier for _, _, frontier in trace) and trace[-1][1] == 0

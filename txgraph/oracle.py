@@ -559,6 +559,12 @@ FROM tx JOIN df ON df.tx_id = tx.tx_id""",
         _LABELS,
         recursive=True,
     ),
+    "labels_weekly": _sql(
+        "SELECT graph_id, ntype, id, label FROM nd JOIN labels USING (graph_id, ord)",
+        _graph_on("epoch(date_trunc('week', event_time))"),
+        _LABELS,
+        recursive=True,
+    ),
     "rings_daily": _sql(f"SELECT {_RING_COLUMNS} FROM rings", *_DAILY_RINGS, recursive=True),
     "rings_weekly_top": _sql(
         """SELECT graph_id, ring_id, size, round(shared_device_ratio, 9) AS shared_device_ratio,

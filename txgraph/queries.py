@@ -312,6 +312,16 @@ def labels_daily(spark, sf):
     return named_nodes(graph, propagate_labels(graph)).select("graph_id", "ntype", "id", "label")
 
 
+@query
+def labels_weekly(spark, sf):
+    """Labels of the weekly graphs, found by joins at any size of a graph."""
+    from txgraph.operators.communities import propagate_labels
+
+    graph = G.build_graph(G.with_weekly_graph(tx_of(spark, sf)))
+    labels = propagate_labels(graph, kernel_arcs=0)
+    return named_nodes(graph, labels).select("graph_id", "ntype", "id", "label")
+
+
 @query
 def rings_daily(spark, sf):
     return _ring_columns(R.rank_rings(_daily_rings(spark, sf)[0]))

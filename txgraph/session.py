@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
-from contextlib import contextmanager
+import uuid
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 # Upper bound on the rows of anything this package broadcasts by hint.
@@ -60,6 +63,35 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of an iteration in a folder of their own below the checkpoint folder.
+
+    A checkpoint keeps the size estimate of its plan; where a round joins a state with itself,
+    the estimates multiply from round to round until planning takes longer than the work. A
+    written table has the size of its files. The folder goes when the block ends; where Python
+    has no access to the store, it stays.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        ensure_checkpoint_dir(spark)
+        folder = spark.sparkContext.getCheckpointDir().rstrip("/")
+        self.spark, self.uri, self.count = spark, f"{folder}/{purpose}-{uuid.uuid4().hex}", 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path, schema = f"{self.uri}/{self.count}", df.schema
+        df.write.parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        with suppress(pa.ArrowInvalid, OSError):
+            fs, path = pafs.FileSystem.from_uri(self.uri)
+            fs.delete_dir(path)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **conf: str):
     """Set SQL settings (dots written as ``__``) for the length of a block."""
