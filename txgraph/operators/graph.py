@@ -250,8 +250,15 @@ def build_graph(
     ``tx`` needs graph_id, tx_id, account_id, device_id, merchant_id, amount, event_time and
     no null identifiers (see ``sources.transactions.split_quarantine``).
     """
-    spark = tx.sparkSession
-    edges = freeze(edge_table(tx, first_seen=True))
+    return graph_of_edges(edge_table(tx, first_seen=True), hub_min_degree, busy_min_rows)
+
+
+def graph_of_edges(
+    edges: DataFrame, hub_min_degree: int = HUB_MIN_DEGREE, busy_min_rows: int = HEAVY_MIN
+) -> TxGraph:
+    """Build the graphs of an edge table with weight and ``seen`` (see :func:`edge_table`)."""
+    spark = edges.sparkSession
+    edges = freeze(edges.select("graph_id", "account_id", "ntype", "other_id", "weight", "seen"))
     numbered = freeze(number_nodes(endpoint_table(edges)))
     graphs = freeze(
         numbered.groupBy("graph_id").agg(

@@ -619,8 +619,13 @@ FROM rc a LEFT JOIN rc b ON b.graph_id = a.graph_id - 86400""",
     "batch_progress": _sql(
         """SELECT batch_id, window_start, window_end,
   strftime(make_timestamp(window_start), '%H:%M') AS start_label,
-  strftime(make_timestamp(window_end), '%H:%M') AS end_label, n_events FROM bw""",
+  strftime(make_timestamp(window_end), '%H:%M') AS end_label, n_events, coalesce(n_rings, 0) AS n_rings
+FROM bw LEFT JOIN (SELECT graph_id, count(*) AS n_rings FROM rings GROUP BY graph_id) r ON r.graph_id = bw.batch_id""",
         _BATCHES,
+        _graph_on("batch_id", "wm"),
+        _LABELS,
+        _rings(),
+        recursive=True,
     ),
     "window_members": _sql("SELECT batch_id, tx_id FROM wm", _BATCHES),
     "outside_window": _sql(
@@ -645,6 +650,34 @@ LEFT JOIN wo d ON d.batch_id = bt.batch_id AND d.ntype = 'device' AND d.other_id
 LEFT JOIN wo m ON m.batch_id = bt.batch_id AND m.ntype = 'merchant' AND m.other_id = bt.merchant_id""",
         _BATCHES,
     ),
+    "batch_graph_features": _sql(
+        """, nm AS (SELECT nd.graph_id, ntype, id, degree, pagerank, betweenness, component_size FROM nd
+  JOIN dg USING (graph_id, ord) JOIN pk USING (graph_id, ord) JOIN bw USING (graph_id, ord)
+  JOIN cs USING (graph_id, ord)),
+fan AS (SELECT graph_id, account_id, count(*) FILTER (ntype = 'device') AS devices,
+  count(*) FILTER (ntype = 'merchant') AS merchants FROM ed GROUP BY ALL),
+wv AS (SELECT batch_id, account_id, count(*) AS velocity FROM bt GROUP BY ALL)
+SELECT bt.batch_id AS graph_id, bt.tx_id, coalesce(a.degree, 0) AS account_degree,
+  round(coalesce(a.pagerank, 0), 9) AS account_pagerank, 0.0::DOUBLE AS account_clustering_coef,
+  round(coalesce(a.betweenness, 0), 9) AS account_betweenness, coalesce(d.degree, 0) AS device_degree,
+  round(coalesce(d.betweenness, 0), 9) AS device_betweenness_centrality,
+  round(coalesce(d.pagerank, 0), 9) AS device_pagerank, coalesce(d.degree, 0) AS device_shared_account_count,
+  coalesce(m.degree, 0) AS merchant_degree, 0.0::DOUBLE AS merchant_cluster_coefficient,
+  round(coalesce(m.betweenness, 0), 9) AS merchant_betweenness, velocity AS velocity_ring_score,
+  coalesce(a.component_size, 1) AS component_size, coalesce(devices, 0) AS unique_devices_per_account,
+  coalesce(merchants, 0) AS unique_merchants_per_account
+FROM bt JOIN wv ON wv.batch_id = bt.batch_id AND wv.account_id = bt.account_id
+LEFT JOIN fan ON fan.graph_id = bt.batch_id AND fan.account_id = bt.account_id
+LEFT JOIN nm a ON a.graph_id = bt.batch_id AND a.ntype = 'account' AND a.id = bt.account_id
+LEFT JOIN nm d ON d.graph_id = bt.batch_id AND d.ntype = 'device' AND d.id = bt.device_id
+LEFT JOIN nm m ON m.graph_id = bt.batch_id AND m.ntype = 'merchant' AND m.id = bt.merchant_id""",
+        _BATCHES.replace("// 250", "// 8").replace("bw AS", "win AS").replace("bw.", "win.").replace("FROM bw", "FROM win"),
+        _graph_on("batch_id", "wm"),
+        _COMPONENTS,
+        _PAGERANK_FULL,
+        _BETWEENNESS,
+        recursive=True,
+    ),
     "batch_overlap": _sql(
         """SELECT count(*) FILTER (n > 1) AS n_overlap
 FROM (SELECT tx_id, count(DISTINCT batch_id) AS n FROM (

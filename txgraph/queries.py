@@ -14,6 +14,7 @@ from txgraph.operators import graph as G
 from txgraph.operators import investigate as I
 from txgraph.operators import metrics as M
 from txgraph.operators import monitor as MO
+from txgraph.operators import panes as PA
 from txgraph.operators import profile as P
 from txgraph.operators import quality as Q
 from txgraph.operators import rings as R
@@ -34,6 +35,8 @@ QUERIES: dict[str, Query] = {}
 
 # Scores of the queries come from fixed formulas, so that routing can be checked in SQL.
 BATCH = 250
+# Batches so small that their windows overlap.
+SMALL_BATCH = 8
 DAY = 1440
 
 
@@ -377,8 +380,13 @@ def ring_spike(spark, sf):
 # --- micro-batches -----------------------------------------------------------
 
 
-def _batched(spark, sf):
-    return B.micro_batches(B.first_occurrence(tx_of(spark, sf)), BATCH)
+def _batched(spark, sf, size=BATCH):
+    return B.micro_batches(B.first_occurrence(tx_of(spark, sf)), size)
+
+
+def _window_graphs(batched):
+    """The graph of every batch's sliding window."""
+    return G.graph_of_edges(PA.window_edges(PA.sliding_edges(batched, B.batch_windows(batched))))
 
 
 @query
@@ -393,7 +401,10 @@ def batch_watermarks(spark, sf):
 
 @query
 def batch_progress(spark, sf):
-    return B.batch_progress(B.batch_windows(_batched(spark, sf)))
+    """Bounds, events and rings of every batch's window."""
+    batched = freeze(_batched(spark, sf))
+    found, _ = R.detect_rings(_window_graphs(batched))
+    return B.batch_progress(B.batch_windows(batched), found)
 
 
 @query
@@ -413,11 +424,8 @@ def outside_window(spark, sf):
 def batch_degree_features(spark, sf):
     """Features of each batch on the graph of its sliding window (pipeline semantics)."""
     batched = freeze(_batched(spark, sf))
-    windows = B.batch_windows(batched)
-    members = B.window_members(batched.drop("batch_id"), windows).withColumnRenamed(
-        "batch_id", "graph_id"
-    )
-    ends = G.endpoint_table(G.edge_table(members))
+    versions = PA.sliding_edges(batched, B.batch_windows(batched))
+    ends = freeze(PA.sliding_degrees(versions, batched))
     fresh = batched.withColumnRenamed("batch_id", "graph_id")
     metrics = ends.withColumn("pagerank", F.lit(0.0)).withColumn("betweenness", F.lit(0.0))
     metrics = metrics.withColumn("component_size", F.lit(1))
@@ -433,6 +441,18 @@ def batch_degree_features(spark, sf):
     )
 
 
+@query
+def batch_graph_features(spark, sf):
+    """All 15 features of each batch on the graph of its sliding window; windows overlap."""
+    batched = freeze(_batched(spark, sf, SMALL_BATCH))
+    fresh = batched.withColumnRenamed("batch_id", "graph_id")
+    features = FE.graph_features(fresh, graph=_window_graphs(batched))
+    real = [c for c, t in features.dtypes if t == "double"]
+    return features.select(
+        *[F.round(c, 9).alias(c) if c in real else F.col(c) for c in features.columns]
+    )
+
+
 def _halves(log):
     """The log before and from the middle of its time span, which is read from the data."""
     span = log.agg(
