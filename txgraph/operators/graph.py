@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions
 
 from txgraph.functions.scalars import hour_start, micros, node_key
 from txgraph.operators.prefix import running
-from txgraph.operators.skew import HEAVY_MIN, HEAVY_SHARE, heavy_threshold, lookup_join
+from txgraph.operators.skew import HEAVY_MIN, heavy_threshold, lookup_join
 from txgraph.session import MAX_BROADCAST_ROWS, freeze, session_conf
 
 # Smallest degree at which a node is treated as a hub in message passing.
@@ -136,7 +136,7 @@ def nodes_by_type(vertices: DataFrame, ntype: str) -> DataFrame:
 def busy_nodes(endpoints: DataFrame, minimum: int = HEAVY_MIN) -> DataFrame | None:
     """Nodes that hold a large share of all transactions: graph_id, ntype, id; None if none.
 
-    ``endpoints`` should be frozen. At most a few times HEAVY_SHARE nodes can qualify.
+    ``endpoints`` should be frozen. At most a few times MAX_BROADCAST_ROWS nodes can qualify.
     """
     # Every transaction adds one to the strength of exactly one device.
     rows = endpoints.where("ntype = 'device'").agg(F.sum("strength")).first()[0] or 0
@@ -269,7 +269,7 @@ def graph_of_edges(
     totals = graphs.agg(F.count("*"), F.sum("size"), F.sum("arcs")).first()
     n_graphs, n_vertices, n_arcs = (int(x or 0) for x in totals)
 
-    hub_degree = max(hub_min_degree, -(-n_arcs // HEAVY_SHARE))
+    hub_degree = heavy_threshold(n_arcs, hub_min_degree)
     # Only look for hubs where the totals allow any.
     hubs = None
     if n_arcs >= hub_degree:

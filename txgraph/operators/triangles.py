@@ -4,34 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from txgraph.operators.skew import HEAVY_MIN, heavy_threshold, lookup_join, salted_join
+from txgraph.session import freeze
 
-def clustering(pairs: DataFrame) -> DataFrame:
+
+def clustering(pairs: DataFrame, heavy_min_rows: int = HEAVY_MIN) -> DataFrame:
     """Clustering per node of an undirected simple graph.
 
     ``pairs``: graph_id, a, b with one row per edge, in either direction. Edges are oriented
     from the lower to the higher (degree, name), so that no node has more than sqrt(2m)
-    outgoing edges, and each triangle is found once: as a path u-v-w with a closing u-w.
-    Returns graph_id, node, degree, triangles, clustering.
+    outgoing edges, and each triangle is found once: as a path u-v-w with a closing u-w. A node
+    with more incoming edges than a task's share has them dealt over parts, and its few outgoing
+    edges are repeated for each. Returns graph_id, node, degree, triangles, clustering.
     """
-    edges = (
+    edges = freeze(
         pairs.where("a <> b")
         .selectExpr("graph_id", "least(a, b) as a", "greatest(a, b) as b")
         .distinct()
     )
-    degrees = (
+    degrees = freeze(
         edges.selectExpr("graph_id", "explode(array(a, b)) as node")
         .groupBy("graph_id", "node")
         .agg(F.count("*").alias("degree"))
     )
-    ends = edges.join(
-        degrees.selectExpr("graph_id", "node as a", "degree as da"), ["graph_id", "a"]
-    ).join(degrees.selectExpr("graph_id", "node as b", "degree as db"), ["graph_id", "b"])
-    up = "da < db or (da = db and a < b)"
-    oriented = ends.selectExpr(
-        "graph_id", f"if({up}, a, b) as u", f"if({up}, b, a) as v"
+    n_edges = edges.count()
+    limit = heavy_threshold(n_edges, heavy_min_rows)
+    heavy = None
+    if n_edges >= limit:
+        # Every edge has two ends: at most twice MAX_BROADCAST_ROWS nodes.
+        heavy = freeze(degrees.where(F.col("degree") >= limit).selectExpr("graph_id", "node", "degree as n"))
+
+    def named(column: str) -> DataFrame | None:
+        return None if heavy is None else heavy.withColumnRenamed("node", column)
+
+    ends = lookup_join(
+        edges, degrees.selectExpr("graph_id", "node as a", "degree as da"), ["graph_id", "a"], named("a"), "inner"
+    )
+    ends = lookup_join(
+        ends, degrees.selectExpr("graph_id", "node as b", "degree as db"), ["graph_id", "b"], named("b"), "inner"
     )
-    paths = oriented.join(
-        oriented.selectExpr("graph_id", "u as v", "v as w"), ["graph_id", "v"]
+    up = "da < db or (da = db and a < b)"
+    oriented = freeze(ends.selectExpr("graph_id", f"if({up}, a, b) as u", f"if({up}, b, a) as v"))
+    paths = salted_join(
+        oriented, oriented.selectExpr("graph_id", "u as v", "v as w"), ["graph_id", "v"], named("v"), limit
     )
     closed = paths.join(
         oriented.selectExpr("graph_id", "u", "v as w"), ["graph_id", "u", "w"], "left_semi"
