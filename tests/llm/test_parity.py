@@ -3,8 +3,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from txgraph.llm import parity
+from txgraph.llm.common import scratch_uri
 from txgraph.llm.components import components
 
 
@@ -87,7 +89,7 @@ def test_bounds_hold_for_every_linked_pair():
         if not len(b) or not parity.linked(inter, len(a), len(b)):
             continue
         often = np.zeros(len(a), int), np.zeros(len(b), int)
-        keys = parity.keys_of(a, often[0]), parity.keys_of(b, often[1])
+        keys = parity.keys_of(a, often[0])[0], parity.keys_of(b, often[1])[0]
         assert len(np.intersect1d(*keys))
         difference = len(a) + len(b) - 2 * inter
         assert parity.hamming(parity.parities(a), parity.parities(b)) <= difference
@@ -100,3 +102,44 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(30)} | {200: 200, 300: 200}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_with_partner_equals_all_pairs():
+    rng = np.random.default_rng(4)
+    for n in (2, 5, 33, 70, 200):
+        s = rng.integers(20, 60, n)
+        place = rng.integers(0, 20, n)
+        a, b = s[:, None], s[None, :]
+        fits = (4 * a >= 3 * b) & (4 * b >= 3 * a) & (a + b >= 7 * np.maximum(place[:, None], place[None, :]))
+        np.fill_diagonal(fits, False)
+        assert (parity.with_partner(s, place) == fits.any(axis=1)).all()
+
+
+def test_first_shared_key_of_linked_sets_is_near_the_front():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        s = int(rng.integers(4, 300))
+        a = np.unique(rng.integers(0, 1 << 63, s).astype(np.uint64))
+        gone = int(rng.integers(0, len(a) // 4 + 1))
+        b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, 3))).astype(np.uint64)]))
+        inter = len(np.intersect1d(a, b))
+        if not parity.linked(inter, len(a), len(b)):
+            continue
+        (ka, ia), (kb, ib) = (parity.keys_of(x, np.zeros(len(x), np.int64)) for x in (a, b))
+        shared, at, to = np.intersect1d(ka, kb, return_indices=True)
+        assert len(shared) and (7 * np.maximum(ia[at], ib[to])).min() <= len(a) + len(b)
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_documents_that_share_a_passage_only_are_no_group(spark, make_docs, parts):
+    """120 words in common and 60 of their own each: no link, and no pairs either, however spread."""
+    passage = " ".join(f"p{i}" for i in range(120))
+    rows = [(n, passage + " " + " ".join(f"w{n}x{i}" for i in range(60))) for n in range(160)]
+    given = make_docs(rows).select(F.col("doc_id").alias("uid"), "text").repartition(parts)
+    folder = scratch_uri(spark, "test")
+    _, frequent = parity.profiles(given, folder)
+    assert len(frequent[0]) == 116  # exactly the passage's shingles, wherever they lie
+    found = parity.groups(given, frequent, 4)
+    members = [len(r.members) // 8 for r in found.collect()]
+    assert sum(m * (m + 1) // 2 for m in members) <= 160
+    assert {r.component_id for r in parity.join(make_docs(rows)).collect()} == set(range(160))

@@ -7,9 +7,14 @@ elements. An element of the difference disturbs one part, so of P sketches at le
 (pigeonhole). Ordered from rare to frequent, the same order everywhere, it is enough to look up
 the D + 1 rarest sketches of each set: two that agree in P - D share one of these. The order
 takes shingles that many documents share last, and empty parts after all, so boilerplate does
-not bring documents together. How frequent a shingle is, is counted over all documents.
-
-Documents that share a looked-up sketch are a group. Groups are resolved by stars: the smallest
+not bring documents together. Every shingle is counted over all documents; the FREQUENT most
+frequent ones (by powers of two of their count, from 4 on) are told to all tasks.
+
+Documents that share a looked-up sketch are a group. Where the first sketch that two sets share
+is at place i of one and j of the other, the sketches before it differ, so they are only linked if
+max(i, j) <= (s + t) / 7. A document without such a partner of fitting size leaves the group; so
+unlike documents that have nothing but a passage in common are no group, however many they are, and
+no pair of them is made. The other groups are resolved by stars: the smallest
 member is compared with the others, and as long as a group has members outside its component,
 these take turns as centres, eight times as many each round. So a group of near copies costs about as
 many comparisons as it has members, and yet every link between different sets is either found
@@ -32,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import chunks, freeze, numbered, partitions_for, small
+from txgraph.llm.common import chunks, discard, freeze, numbered, partitions_for, scratch_uri, small, written
 from txgraph.llm.components import components
 from txgraph.llm.words import mix, shingles, word_hashes
 
 WORDS = 5
-FREQUENT = 100_000  # shingles whose frequency is told to all tasks
+FREQUENT = 500_000  # shingles whose frequency is told to all tasks
+COUNTED_BITS = 42  # of a shingle's hash; what agrees in them is counted together, which only moves the order
+LEAST_LEVEL = 2  # log2 of the count from which a shingle may be frequent
 FLUSH = 1_000_000
 CHUNK = 4096
 LEAST_PARTS = 64
@@ -75,7 +82,8 @@ def linked(inter: int, s: int, t: int) -> bool:
 
 def _looked_up(own: np.ndarray, often: np.ndarray, band: int, most: int) -> np.ndarray:
     """The ``most`` + 1 first sketches of a set in the order of one band, as 64-bit keys."""
-    parts = np.uint64(max(LEAST_PARTS, 4 ** (band + 1)))
+    # Four parts and more for each element, so that few of them share one.
+    parts = np.uint64(max(LEAST_PARTS, 4 ** (band + 2)))
     part = own & (parts - np.uint64(1))
     order = np.argsort(part, kind="stable")
     part = part[order]
@@ -92,8 +100,9 @@ def _looked_up(own: np.ndarray, often: np.ndarray, band: int, most: int) -> np.n
     return keys[np.lexsort((keys, rank))[: most + 1]]
 
 
-def keys_of(own: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """All keys of a set: in the band of its size, and in the one below if a partner may be there.
+def keys_of(own: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a set, and their places in the order: in the band of its size, and in the one
+    below if a partner may be there.
 
     ``often`` has the known frequency of each shingle, 0 if it is not among the frequent ones.
     """
@@ -103,61 +112,177 @@ def keys_of(own: np.ndarray, often: np.ndarray) -> np.ndarray:
     keys = [_looked_up(own, often, band, s // 3)]
     if band and -(-3 * s // 4) < low:
         keys.append(_looked_up(own, often, band - 1, (s + low - 1) // 7))
-    return np.concatenate(keys)
+    return np.concatenate(keys), np.concatenate([np.arange(len(k)) for k in keys])
+
+
+def with_partner(s: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which members of a group, given by size and place, have one that they may be linked with.
+
+    That is one of 3/4 to 4/3 of the size with 7 * max(places) <= sum of sizes. Small groups are
+    compared in full; in others, sorted by size, the least ``7 * place - s`` of a range tells.
+    """
+    s, place = s.astype(np.int64), place.astype(np.int64)
+    n, need = len(s), 7 * place - s
+    if n <= 32:
+        fits = (4 * s[:, None] >= 3 * s) & (4 * s >= 3 * s[:, None]) & (s >= need[:, None]) & (s[:, None] >= need)
+        np.fill_diagonal(fits, False)
+        return fits.any(axis=1)
+    order = np.argsort(s, kind="stable")
+    size, own = s[order], need[order]
+    left = np.searchsorted(size, np.maximum(-(-3 * size // 4), own), side="left")
+    right = np.searchsorted(size, 4 * size // 3, side="right")
+    table = [own]
+    while 2 << (len(table) - 1) <= n:
+        half = 1 << (len(table) - 1)
+        table.append(np.minimum(table[-1][:-half], table[-1][half:]))
+
+    def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Least need of the places from a to before b; a large number where there are none."""
+        out = np.full(n, np.iinfo(np.int64).max)
+        some = np.flatnonzero(b > a)
+        level = np.frexp((b - a)[some].astype(float))[1] - 1
+        for k in np.unique(level):
+            at = some[level == k]
+            out[at] = np.minimum(table[k][a[at]], table[k][b[at] - (1 << int(k))])
+        return out
+
+    me = np.arange(n)
+    best = np.minimum(least(left, np.minimum(me, right)), least(np.maximum(me + 1, left), right))
+    keep = np.zeros(n, dtype=bool)
+    keep[order] = best <= size
+    return keep
 
 
 # --- the distributed part ----------------------------------------------------
 
 
-def profiles(given: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
-    """(uid, n, digest, bits) of every document, and the frequent shingles with their counts."""
+def _counted_bits(tasks: int) -> int:
+    """Bits of a counted shingle that name its bucket; the others fit 32 bits."""
+    return max(COUNTED_BITS - 32, (4 * tasks).bit_length())
+
+
+def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """(uid, n, digest, bits) of every document, and the frequent shingles with their level."""
+    spark = given.sparkSession
+    bits = _counted_bits(given.rdd.getNumPartitions())
+    low = COUNTED_BITS - bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["uid", "n", "digest", "bits", "shingle", "count"]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        names = ["uid", "n", "digest", "bits", "bucket", "low", "times"]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
         held: list[np.ndarray] = []
         size = 0
 
-        def frequent() -> pa.RecordBatch:
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= 2
-            n = int(often.sum())
-            columns = [[None] * n] * 4 + [found[often].astype(np.int64), counts[often]]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+        def counted() -> pa.RecordBatch:
+            found, times = np.unique(np.concatenate(held) >> np.uint64(64 - COUNTED_BITS), return_counts=True)
+            bucket = (found >> np.uint64(low)).astype(np.int64)
+            bounds = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            rest = (found & np.uint64((1 << low) - 1)).astype("<u4")
+            rows = []
+            for i, j in zip(bounds, np.append(bounds[1:], len(found)), strict=True):
+                # Most occur once: only the others' places and counts are told.
+                often = np.flatnonzero(times[i:j] > 1)
+                told = np.stack([often, times[i:j][often]]).astype("<u4").tobytes()
+                rows.append((None, None, None, None, int(bucket[i]), rest[i:j].tobytes(), told))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+            )
 
         for batch in batches:
             uids = batch.column(0).to_pylist()
             rows = []
             for row, own in shingle_sets(batch, 1):
                 digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                rows.append((uids[row], len(own), digest, parities(own).tobytes() if len(own) else b"", None, None))
-                held.append(own)
+                packed = parities(own).tobytes() if len(own) else b""
+                rows.append((uids[row], len(own), digest, packed, None, None, None))
+                if len(own):
+                    held.append(own)
                 size += len(own)
-                if size >= 2 * FLUSH:
-                    yield frequent()
+                if size >= 4 * FLUSH:
+                    yield counted()
                     held, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+                )
         if held:
-            yield frequent()
+            yield counted()
 
-    both = freeze(
-        given.mapInArrow(run, "uid long, n long, digest binary, bits binary, shingle long, count long")
+    both = written(
+        given.mapInArrow(run, "uid long, n long, digest binary, bits binary, bucket long, low binary, times binary"),
+        f"{folder}/profiles",
     )
     told = both.where("uid IS NOT NULL").select("uid", "n", "digest", "bits").dropDuplicates(["uid"])
-    counted = both.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("n"))
-    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()  # a fixed bound
-    names = np.array([r.shingle for r in top], dtype=np.int64).astype(np.uint64)
+    dealt = both.where("bucket IS NOT NULL").select("bucket", "low", "times").repartition(
+        partitions_for(spark, given.rdd.getNumPartitions(), 1), "bucket"
+    )
+    levels = freeze(
+        dealt.sortWithinPartitions("bucket").mapInArrow(
+            lambda batches: _levels(batches, low), "level int, n long, names binary"
+        )
+    )
+    # From the most frequent level down as many levels as have FREQUENT shingles in all.
+    chosen, total = [], 0
+    for level, n in levels.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():
+        total += n
+        if total > FREQUENT:
+            break
+        chosen.append(level)
+    rows = levels.where(F.col("level").isin(chosen)).select("level", "names").collect() if chosen else []  # bounded
+    found = [np.frombuffer(r.names, "<u8") for r in rows]
+    names = np.concatenate([np.zeros(0, "<u8"), *found])
+    level = np.repeat(np.array([r.level for r in rows], np.int64), [len(x) for x in found])
     order = np.argsort(names)
-    return told, (names[order], np.array([r.n for r in top], dtype=np.int64)[order])
+    return told, (names[order], level[order])
+
+
+def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBatch]:
+    """(level, number, names) of the shingles of each bucket that occur often, by log2 of the count."""
+    names: list[np.ndarray] = []
+    times: list[np.ndarray] = []
+
+    def close(bucket: int) -> Iterator[pa.RecordBatch]:
+        name, each = np.concatenate(names), np.concatenate(times)
+        order = np.argsort(name, kind="stable")
+        name, each = name[order], each[order]
+        starts = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+        level = np.frexp(np.add.reduceat(each, starts).astype(float))[1] - 1
+        name = name[starts].astype("<u8") + np.uint64(bucket << low)
+        found = [int(x) for x in np.unique(level) if x >= LEAST_LEVEL]
+        parts = [name[level == x] for x in found]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(found, pa.int32()),
+                pa.array([len(x) for x in parts], pa.int64()),
+                pa.array([x.tobytes() for x in parts], pa.binary()),
+            ],
+            names=["level", "n", "names"],
+        )
+
+    at = None
+    for batch in batches:
+        for bucket, rest, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != at and at is not None:
+                yield from close(at)
+                names, times = [], []
+            at = bucket
+            name = np.frombuffer(rest, "<u4")
+            each = np.ones(len(name), np.int64)
+            place, n = np.frombuffer(told, "<u4").reshape(2, -1)
+            each[place] = n
+            names.append(name)
+            times.append(each)
+    if at is not None:
+        yield from close(at)
 
 
 def _often(own: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    names, counts = frequent
+    names, levels = frequent
     if not len(names):
         return np.zeros(len(own), dtype=np.int64)
+    own = own >> np.uint64(64 - COUNTED_BITS)
     at = np.minimum(np.searchsorted(names, own), len(names) - 1)
-    return np.where(names[at] == own, counts[at], 0)
+    return np.where(names[at] == own, levels[at], 0)
 
 
 def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
@@ -171,26 +296,34 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         keys: list[np.ndarray] = []
+        places: list[np.ndarray] = []
         uids: list[int] = []
+        sizes: list[int] = []
         size = 0
 
         def deal() -> pa.RecordBatch:
             key = np.concatenate(keys)
-            uid = np.repeat(np.array(uids, dtype=np.int64), [len(k) for k in keys])
-            bucket = (key % np.uint64(buckets)).astype(np.int64)
+            place = np.concatenate(places)
+            document = np.repeat(np.arange(len(uids)), [len(k) for k in keys])
+            uid, s = np.array(uids, dtype=np.int64), np.array(sizes, dtype="<i8")
+            bucket = ((key >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
             rows = []
             for b in np.flatnonzero(np.diff(bounds)):
                 part = order[bounds[b] : bounds[b + 1]]
-                owner = uid[part]  # in runs, as documents come one after another
+                owner = document[part]  # in runs, as documents come one after another
                 cut = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-                times = np.diff(np.append(cut, len(owner)))
-                rows.append((int(b), key[part].tobytes(), owner[cut].tobytes(), times.astype("<i4").tobytes()))
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                times = np.diff(np.append(cut, len(owner))).astype("<i4")
+                whose = owner[cut]
+                # Six bytes of a key beside the bucket; a chance match is a pair more to verify.
+                short = key[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                columns = (short, place[part], uid[whose], s[whose], times)
+                rows.append((int(b), *(c.tobytes() for c in columns)))
+            kinds = [pa.int64()] + [pa.binary()] * 5
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["bucket", "key", "uid", "times"],
+                names=["bucket", "key", "place", "uid", "size", "times"],
             )
 
         for batch in batches:
@@ -204,12 +337,16 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
                 if digest in seen:  # any copy stands for its class
                     continue
                 seen[digest] = 1
-                keys.append(np.unique(keys_of(own, _often(own, shared.value))))
+                key, place = keys_of(own, _often(own, shared.value))
+                keys.append(key)
+                # A lower place than the true one only keeps a document in its group.
+                places.append(np.minimum(place, 0xFFFF).astype("<u2"))
                 uids.append(names[row])
-                size += len(keys[-1])
+                sizes.append(len(own))
+                size += len(key)
                 if size >= FLUSH:
                     yield deal()
-                    keys, uids, size = [], [], 0
+                    keys, places, uids, sizes, size = [], [], [], [], 0
         if size:
             yield deal()
 
@@ -223,7 +360,9 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
                 held.append(row)
         yield from _grouped(held)
 
-    packed = given.mapInArrow(pack, "bucket long, key binary, uid binary, times binary")
+    packed = given.mapInArrow(
+        pack, "bucket long, key binary, place binary, uid binary, size binary, times binary"
+    )
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(compare, "gid long, hub long, cuts long, chunk long, members binary")
 
@@ -232,12 +371,16 @@ def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
     """Groups of one bucket; equal member lists once."""
     if not held:
         return
-    key = np.concatenate([np.frombuffer(r["key"], "<u8") for r in held])
-    uid = np.concatenate(
-        [np.repeat(np.frombuffer(r["uid"], "<i8"), np.frombuffer(r["times"], "<i4")) for r in held]
+    short = np.concatenate([np.frombuffer(r["key"], np.uint8).reshape(-1, 6) for r in held])
+    key = np.concatenate([short, np.zeros((len(short), 2), np.uint8)], axis=1).view("<u8").ravel()
+    place = np.concatenate([np.frombuffer(r["place"], "<u2") for r in held])
+    times = [np.frombuffer(r["times"], "<i4") for r in held]
+    uid, size = (
+        np.concatenate([np.repeat(np.frombuffer(r[c], "<i8"), n) for r, n in zip(held, times, strict=True)])
+        for c in ("uid", "size")
     )
     order = np.lexsort((uid, key))
-    key, uid = key[order], uid[order]
+    key, uid, size, place = key[order], uid[order], size[order], place[order].astype(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(starts, len(key)))
     rows: list[tuple[int, int, int, int, bytes]] = []
@@ -256,15 +399,21 @@ def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
                 rows.append((gid, hub, cuts, chunk, part.astype("<i8").tobytes()))
 
     two = starts[sizes == 2]
+    s, t = size[two], size[two + 1]
+    near = (4 * s >= 3 * t) & (4 * t >= 3 * s) & (s + t >= 7 * np.maximum(place[two], place[two + 1]))
+    two = two[near]
     if len(two):
         for pair in np.unique(np.column_stack([uid[two], uid[two + 1]]), axis=0):
             if pair[0] != pair[1]:
                 add(pair)
     seen: set[bytes] = set()
-    for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-        members = np.unique(uid[start : start + size])
+    for start, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        own = slice(start, start + n)
+        members = np.unique(uid[own][with_partner(size[own], place[own])])
+        if len(members) < 2:
+            continue
         name = hashlib.blake2b(members.tobytes(), digest_size=16).digest()
-        if name not in seen and len(members) > 1:
+        if name not in seen:
             seen.add(name)
             add(members)
     kinds = [pa.int64()] * 4 + [pa.binary()]
@@ -440,12 +589,14 @@ def clusters(docs: DataFrame) -> DataFrame:
     ``component`` the one of its representative and ``component_id`` the representative's id.
     """
     given, numbers = numbered(docs)
-    told, frequent = profiles(given)
+    folder = scratch_uri(docs.sparkSession, "parity")
+    told, frequent = profiles(given, folder)
     first = freeze(told.groupBy("digest").agg(F.min("uid").alias("first")))
     first = told.join(first, "digest").withColumn(
         "first", F.when(F.col("n") == 0, F.col("uid")).otherwise(F.col("first"))
     )
     told = freeze(first.select("uid", "n", "bits", "first"))
+    discard(folder)
     buckets = partitions_for(docs.sparkSession, given.rdd.getNumPartitions(), 1)
     found = freeze(groups(given, frequent, buckets))
     stars = freeze(_stars(found, buckets))
