@@ -15,8 +15,9 @@ is at place i of one and j of the other, the sketches before it differ, so they
 max(i, j) <= (s + t) / 7. A document without such a partner of fitting size leaves the group; so
 unlike documents that have nothing but a passage in common are no group, however many they are, and
 no pair of them is made. The other groups are resolved by stars: the smallest
-member is compared with the others, and as long as a group has members outside its component,
-these take turns as centres, eight times as many each round. So a group of near copies costs about as
+member is compared with the others. Members outside its component are then compared with a few
+inside it, other ones each turn, as long as that brings many of them in; those left take turns as
+centres, compared with all others, eight times as many each round. So a group of near copies costs about as
 many comparisons as it has members, and yet every link between different sets is either found
 or implied by components. Compared are the Hamming distance of one-bit parities, a lower bound
 of the difference, then the sets themselves.
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from txgraph.llm.common import chunks, discard, freeze, numbered, partitions_for, scratch_uri, small, written
 from txgraph.llm.components import components
 from txgraph.llm.words import mix, shingles, word_hashes
+from txgraph.session import session_conf
 
 WORDS = 5
 FREQUENT = 500_000  # shingles whose frequency is told to all tasks
@@ -48,6 +50,7 @@ LEAST_LEVEL = 2  # log2 of the count from which a shingle may be frequent
 FLUSH = 1_000_000
 CHUNK = 4096
 LEAST_PARTS = 64
+HELPED_TURNS = 8  # at most; what is left then is compared in full
 EMPTY = np.uint64(0)
 
 
@@ -198,7 +201,7 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
                 if len(own):
                     held.append(own)
                 size += len(own)
-                if size >= 4 * FLUSH:
+                if size >= 2 * FLUSH:
                     yield counted()
                     held, size = [], 0
             if rows:
@@ -477,7 +480,8 @@ def _links(pairs: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
     left = own.select(F.col("uid").alias("a"), F.col("n").alias("s"), F.col("bits").alias("u"))
     right = own.select(F.col("uid").alias("b"), F.col("n").alias("t"), F.col("bits").alias("v"))
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t", "u", "v")
-    near = freeze(near.mapInArrow(bound, "a long, b long"))
+    with session_conf(given.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="2000"):
+        near = freeze(near.mapInArrow(bound, "a long, b long"))
     wanted = near.select(F.col("a").alias("uid")).union(near.select("b")).distinct()
     wanted = freeze(wanted)
     texts = given.join(small(wanted, wanted.count()), "uid", "left_semi").dropDuplicates(["uid"])
@@ -503,7 +507,9 @@ def _links(pairs: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
     u = held.select(F.col("uid").alias("a"), F.col("shingles").alias("u"))
     v = held.select(F.col("uid").alias("b"), F.col("shingles").alias("v"))
     joined = near.join(u, "a").join(v, "b").select("a", "b", "u", "v")
-    return freeze(joined.mapInArrow(verify, "a long, b long"))
+    # Two whole sets a row: small batches bound the memory of a task.
+    with session_conf(given.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
+        return freeze(joined.mapInArrow(verify, "a long, b long"))
 
 
 def _centres(open_: DataFrame, stray: DataFrame, most: int) -> DataFrame:
@@ -534,6 +540,35 @@ def _centres(open_: DataFrame, stray: DataFrame, most: int) -> DataFrame:
     return mine.groupBy("gid").agg(F.slice(F.array_sort(F.collect_set("x")), 1, most).alias("centres"))
 
 
+def _helped(open_: DataFrame, stray: DataFrame, turn: int, most: int = 2) -> DataFrame:
+    """(a, b): the strays of each group with a few members that are in the hub's component.
+
+    Another few each turn, the same ones in groups that overlap.
+    """
+    kinds = open_.select("hub", "cuts").distinct()
+    lists = (
+        stray.join(kinds, "hub")
+        .withColumn("chunk", F.pmod("x", "cuts"))
+        .groupBy("hub", "cuts", "chunk")
+        .agg(F.collect_set("x").alias("strays"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for members, strays in zip(*batch.columns, strict=True):
+                own = np.frombuffer(members.as_py(), "<i8")
+                mine = np.intersect1d(strays.values.to_numpy(), own)
+                rest = np.setdiff1d(own, mine, assume_unique=True)
+                lot = mix(rest.astype(np.uint64) + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15))
+                for helper in rest[np.argsort(lot, kind="stable")[:most]]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(mine, helper)), pa.array(np.maximum(mine, helper))], names=["a", "b"]
+                    )
+
+    joined = open_.join(lists, ["hub", "cuts", "chunk"]).select("members", "strays")
+    return joined.mapInArrow(run, "a long, b long").distinct()
+
+
 def _around(open_: DataFrame) -> DataFrame:
     """(a, b): each centre of a group with each other member but the hub."""
 
@@ -555,6 +590,18 @@ def _resolve(found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFr
     stray = freeze(_strays(stars, told, labels))
     sizes = F.length("members") > 8  # a hub with one other member is compared already
     whole = found.where(sizes | (F.col("cuts") > 1)).dropDuplicates(["gid", "chunk"])
+    # In a family of copies most strays are near one of the members that the hub is near to.
+    for turn in range(HELPED_TURNS):
+        left = stray.count()
+        if not left:
+            return labels
+        open_ = whole.join(stray.select("hub").distinct(), "hub", "left_semi")
+        links = _links(_classes(_helped(open_, stray, turn), told), told, given)
+        edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+        labels = components(edges)
+        stray = freeze(_strays(stars, told, labels))
+        if 4 * stray.count() > 3 * left:
+            break
     open_ = whole.join(stray.select("hub").distinct(), "hub", "left_semi")
     open_ = open_.withColumn("upto", F.lit(-(2**63)).cast("long"))
     most = 1
