@@ -17,7 +17,7 @@ unlike documents that have nothing but a passage in common are no group, however
 no pair of them is made. The other groups are resolved by stars: the smallest
 member is compared with the others. Members outside its component are then compared with a few
 inside it, other ones each turn, as long as that brings many of them in; those left take turns as
-centres, compared with all others, eight times as many each round. So a group of near copies costs about as
+centres, compared with all others inside a task by their parities, eight times as many each round. So a group of near copies costs about as
 many comparisons as it has members, and yet every link between different sets is either found
 or implied by components. Compared are the Hamming distance of one-bit parities, a lower bound
 of the difference, then the sets themselves.
@@ -482,6 +482,11 @@ def _links(pairs: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t", "u", "v")
     with session_conf(given.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="2000"):
         near = freeze(near.mapInArrow(bound, "a long, b long"))
+    return _verified(near, given)
+
+
+def _verified(near: DataFrame, given: DataFrame) -> DataFrame:
+    """Those pairs of classes whose sets are similar."""
     wanted = near.select(F.col("a").alias("uid")).union(near.select("b")).distinct()
     wanted = freeze(wanted)
     texts = given.join(small(wanted, wanted.count()), "uid", "left_semi").dropDuplicates(["uid"])
@@ -569,23 +574,81 @@ def _helped(open_: DataFrame, stray: DataFrame, turn: int, most: int = 2) -> Dat
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
-def _around(open_: DataFrame) -> DataFrame:
-    """(a, b): each centre of a group with each other member but the hub."""
+def _around(open_: DataFrame, told: DataFrame, tasks: int) -> DataFrame:
+    """(a, b): classes of each centre of a group and of those members that the bounds leave.
+
+    The parities of a chunk's members, of which there are CHUNK at most, meet those of the
+    group's centres in one task; only pairs within the bounds leave it.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for gid, chunk, members, centres in zip(*batch.columns, strict=True):
+                own, at = np.frombuffer(members.as_py(), "<i8"), centres.values.to_numpy()
+                uid = np.concatenate([at, own])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(uid), gid.as_py())),
+                        pa.array(np.full(len(uid), chunk.as_py())),
+                        pa.array(np.arange(len(uid)) < len(at)),
+                        pa.array(uid),
+                    ],
+                    names=["gid", "chunk", "centre", "uid"],
+                )
+
+    def near(held: list[tuple]) -> pa.RecordBatch:
+        found = []
+        members = {row[1]: row for row in held if not row[0]}  # once per class
+        first = np.array(list(members), dtype=np.int64)
+        n = np.array([row[2] for row in members.values()], dtype=np.int64)
+        by_length: dict[int, list[int]] = {}
+        for i, row in enumerate(members.values()):
+            by_length.setdefault(len(row[3]), []).append(i)
+        blocks = {
+            k: (np.array(at), np.frombuffer(b"".join(members[int(first[i])][3] for i in at), np.uint8).reshape(-1, k))
+            for k, at in by_length.items()
+        }
+        for name, s, bits in {row[1]: row[1:] for row in held if row[0]}.values():
+            mine = np.frombuffer(bits, np.uint8)
+            for k, (at, block) in blocks.items():
+                some = np.flatnonzero((4 * np.minimum(n[at], s) >= 3 * np.maximum(n[at], s)) & (first[at] != name))
+                if not len(some):
+                    continue
+                left, right = mine, block[some]
+                while len(left) > right.shape[1]:
+                    left = left[: len(left) // 2] ^ left[len(left) // 2 :]
+                while right.shape[1] > len(left):
+                    half = right.shape[1] // 2
+                    right = right[:, :half] ^ right[:, half:]
+                apart = np.bitwise_count(right ^ left).sum(axis=1, dtype=np.int64)
+                near_ = first[at[some[7 * apart <= s + n[at[some]]]]]
+                found.append(np.stack([np.minimum(near_, name), np.maximum(near_, name)]))
+        pairs = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
         for batch in batches:
-            for members, centres in zip(*batch.columns, strict=True):
-                own = np.frombuffer(members.as_py(), "<i8")
-                for centre in centres.values.to_numpy():
-                    others = own[own != centre]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(others, centre)), pa.array(np.maximum(others, centre))], names=["a", "b"]
-                    )
+            for gid, chunk, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (gid, chunk) != current:
+                    if held:
+                        yield near(held)
+                    current, held = (gid, chunk), []
+                held.append(tuple(row))
+        if held:
+            yield near(held)
 
-    return open_.select("members", "centres").mapInArrow(run, "a long, b long").distinct()
+    rows = open_.select("gid", "chunk", "members", "centres").mapInArrow(
+        listed, "gid long, chunk long, centre boolean, uid long"
+    )
+    sketched = rows.join(told.select("uid", "first", "n", "bits"), "uid").where("n > 0")
+    dealt = sketched.select("gid", "chunk", "centre", "first", "n", "bits").repartition(tasks, "gid", "chunk")
+    return dealt.sortWithinPartitions("gid", "chunk").mapInArrow(run, "a long, b long").distinct()
 
 
-def _resolve(found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
+def _resolve(
+    found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFrame, given: DataFrame, tasks: int
+) -> DataFrame:
     """Labels once every group is within one component or fully compared."""
     stray = freeze(_strays(stars, told, labels))
     sizes = F.length("members") > 8  # a hub with one other member is compared already
@@ -612,7 +675,7 @@ def _resolve(found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFr
         open_ = freeze(
             open_.drop("upto", "centres").join(centres, "gid").withColumn("upto", F.element_at("centres", -1))
         )
-        links = _links(_classes(_around(open_), told), told, given)
+        links = _verified(freeze(_around(open_, told, tasks)), given)
         edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
         labels = components(edges)
         stray = freeze(_strays(stars, told, labels))
@@ -648,7 +711,7 @@ def clusters(docs: DataFrame) -> DataFrame:
     found = freeze(groups(given, frequent, buckets))
     stars = freeze(_stars(found, buckets))
     links = _links(_classes(stars.select(F.col("hub").alias("a"), F.col("x").alias("b")), told), told, given)
-    labels = _resolve(found, stars, components(links), told, given)
+    labels = _resolve(found, stars, components(links), told, given, buckets)
     names = labels.select(F.col("node").alias("first"), "component")
     rows = told.join(names, "first", "left").select(
         "uid", F.col("n").alias("n_shingles"), F.coalesce("component", "first").alias("component")
