@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -204,17 +203,21 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Ids of pieces seen before, in two generations; the older one goes when this is full."""
+    """Packed ids of pieces seen before, in two generations; the older one goes when this is full.
+
+    Ids are kept as little-endian 32-bit integers: no object per id, none the collector visits.
+    """
 
     def __init__(self, machine: Transducer, most: int = 150_000, longest: int = 64):
         super().__init__()
         self.machine, self.most, self.longest = machine, most, longest
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = self.machine.encode(piece.encode("utf-8"))
+            tokens = self.machine.encode(piece.encode("utf-8"))
+            ids = b"".join([token.to_bytes(4, "little") for token in tokens])
         if len(piece) <= self.longest:
             if len(self) >= self.most:
                 self.older = dict(self)
@@ -237,7 +240,7 @@ class Encoder:
             found: Iterable[str] = (m.group() for m in self.pattern.finditer(text))
         else:
             found = self.pattern.findall(text)
-        return np.fromiter(chain.from_iterable(map(get, found)), dtype="<u4")
+        return np.frombuffer(b"".join(map(get, found)), dtype="<u4")
 
 
 class Utf8Machine:
