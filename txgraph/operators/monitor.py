@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txgraph.operators.metrics import run_metrics
+from txgraph.operators.prefix import running
 
 # Alert, metric, threshold, minutes it must hold, severity, route.
 ALERT_RULES = [
@@ -89,16 +90,18 @@ def alert_episodes(
     ``samples``: metric, at (epoch seconds of an evaluation step), value; one row per step.
     A missing step ends a stretch. Columns: alert, severity, route, started, ended, minutes.
 
-    The samples are aggregates, one per step and metric, so a window per alert is small.
+    Positions come from a distributed running count, so no task holds all steps of an alert.
+    ``streaming.episodes`` does the same on a live stream.
     """
     step = step_minutes * 60
     breached = samples.join(F.broadcast(rules), "metric").where("value > threshold")
-    order = W.partitionBy("alert").orderBy("at")
-    # Consecutive steps share (step number - row number).
-    island = F.col("at") / step - F.row_number().over(order)
+    key = ["alert", "severity", "route", "hold_minutes"]
+    placed = running(breached.select(*key, "at"), ["at"], ["alert"], position="nth")
+    # Consecutive steps share (step number - position).
+    island = F.col("at") / step - F.col("nth")
     return (
-        breached.withColumn("island", island)
-        .groupBy("alert", "severity", "route", "hold_minutes", "island")
+        placed.withColumn("island", island)
+        .groupBy(*key, "island")
         .agg(F.min("at").alias("started"), F.max("at").alias("ended"))
         .withColumn("minutes", ((F.col("ended") - F.col("started")) / 60).cast("bigint"))
         .where("minutes >= hold_minutes")
