@@ -2,16 +2,19 @@ import random
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tests.fixtures import transactions
 from txgraph.ml.attribution import attributions
+from txgraph.ml.ensemble import MeanProbability
 from txgraph.ml.score import score_matrix
-from txgraph.ml.train import boosted_trees, importances, second_member, split_matrix, train_model
+from txgraph.ml.train import boosted_trees, importances, second_member, split_matrix, train_model, two_members
 from txgraph.operators.features import feature_matrix, graph_features, with_labels
 from txgraph.operators.graph import with_window_graph
 from txgraph.plans.pipeline import drift_check, load_and_score, notebook_analysis, retrain, run_pipeline, weekly_rings
 from txgraph.schema import ALL_FEATURES, GRAPH_FEATURES, ModelParams
+from txgraph.sinks.lake import write_model
 from txgraph.sources.artifacts import read_metadata
 
 FAST = ModelParams(trees=4, depth=3)
@@ -76,20 +79,53 @@ def test_scores_and_attribution(labelled, trained):
     assert not shares.where("contribution <> 0").isEmpty()
 
 
-def test_second_member_is_averaged(labelled, trained):
-    other = second_member(ALL_FEATURES, FAST).fit(split_matrix(labelled, FAST).where("not is_test"))
+def test_two_members_in_one_saved_pipeline(spark, labelled, trained, tmp_path):
+    """Fitted, scored, saved, loaded and streamed as one model; its score is the members' mean."""
+    train = split_matrix(labelled, FAST).where("not is_test")
+    forest = second_member(ALL_FEATURES, FAST).fit(train)
+    pair = train_model(labelled, FAST, build=two_members)
     one = score_matrix(labelled, trained.model).withColumnRenamed("raw_score", "a")
-    two = score_matrix(labelled, other).withColumnRenamed("raw_score", "b")
-    both = score_matrix(labelled, trained.model, other)
-    wrong = both.join(one, "tx_id").join(two, "tx_id").where("abs(raw_score - (a + b) / 2) > 1e-12")
-    assert wrong.isEmpty()
-    assert len(importances(other, ALL_FEATURES)) == 20
+    two = score_matrix(labelled, forest).withColumnRenamed("raw_score", "b")
+    both = score_matrix(labelled, pair.model)
+    joined = both.join(one, "tx_id").join(two, "tx_id")
+    assert joined.count() == 600
+    assert joined.where("abs(raw_score - (a + b) / 2) > 1e-12").isEmpty()
+    assert score_matrix(labelled, trained.model, forest).exceptAll(both).isEmpty()
+    gains = {name: g for name, _, g in pair.importance}
+    apart = [dict((n, g) for n, _, g in importances(m, ALL_FEATURES)) for m in (trained.model, forest)]
+    assert gains == pytest.approx({n: (apart[0][n] + apart[1][n]) / 2 for n in gains})
+    assert sum(gains.values()) == pytest.approx(1.0) and pair.auc_uplift > 0
+    path = write_model(pair.model, str(tmp_path), "20240101T000000Z")
+    again = PipelineModel.load(path)
+    assert score_matrix(labelled, again).exceptAll(both).isEmpty()
+    labelled.drop("is_fraud").write.parquet(f"{tmp_path}/matrix")
+    live = spark.readStream.schema(labelled.drop("is_fraud").schema).parquet(f"{tmp_path}/matrix")
+    query = (
+        score_matrix(live, again)
+        .writeStream.format("memory").queryName("pair").option("checkpointLocation", f"{tmp_path}/ck")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.table("pair").exceptAll(both).isEmpty() and spark.table("pair").count() == 600
+
+
+def test_mean_probability_leaves_missing_members_out(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('x', array(0.8D, 0.2D), array(0.4D, 0.6D)), ('y', array(0.8D, 0.2D), null),"
+        " ('z', null, null) AS t(tx_id, p, q)"
+    ).select(
+        "tx_id", *[F.when(F.col(c).isNotNull(), array_to_vector(c)).alias(c) for c in ("p", "q")]
+    )
+    mean = MeanProbability(inputCols=["p", "q"], outputCol="probability").transform(rows)
+    got = {r.tx_id: r.probability and round(r.probability[1], 9) for r in mean.collect()}
+    assert got == {"x": 0.4, "y": 0.2, "z": None}
 
 
 def test_batch_pipeline_writes_everything(spark, tmp_path):
     out = str(tmp_path / "lake")
     summary = run_pipeline(
-        planted(spark), out, FAST, batch_size=200, window_minutes=240, stamp="20240101T000000Z"
+        planted(spark), out, FAST, batch_size=200, window_minutes=240, stamp="20240101T000000Z",
+        build=two_members,
     )
     assert summary["transactions_scored"] == 600
     assert summary["auc_uplift"] > 0 and len(summary["top_features"]) == 10
@@ -100,8 +136,9 @@ def test_batch_pipeline_writes_everything(spark, tmp_path):
     }
     rings = spark.read.json(f"{out}/rings")
     assert rings.count() >= 1 and rings.where("size < 3").isEmpty()
-    members = spark.read.json(f"{out}/ring_members")
-    assert members.where("ntype = 'device'").isEmpty()
+    # A ring's record holds its accounts and merchants; these rings fit one page.
+    assert rings.where("size(accounts) <> size or page <> 0").isEmpty()
+    assert rings.where("size(merchants) = n_nodes - n_devices - size").count() == rings.count()
     cases = spark.read.json(f"{out}/narratives")
     assert 0 < cases.count() <= 10
     text = cases.first().narrative

@@ -24,6 +24,7 @@ ITERATIVE = {
     "rings_weekly_top",
     "ring_members",
     "rings_distinct",
+    "ring_documents",
     "account_rings",
     "rings_busiest_hour",
     "ring_spike",

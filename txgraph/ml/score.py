@@ -22,8 +22,8 @@ def score_matrix(
     matrix: DataFrame, model: PipelineModel, second: PipelineModel | None = None
 ) -> DataFrame:
     """tx_id and raw_score for a feature matrix (batch or streaming)."""
-    drop = ["features", "rawPrediction", "probability", "prediction"]
-    scored = model.transform(matrix).withColumn("__p1", positive_probability()).drop(*drop)
+    scored = model.transform(matrix).withColumn("__p1", positive_probability())
+    scored = scored.select("__p1", *matrix.columns)
     if second is None:
         return scored.select("tx_id", F.col("__p1").alias("raw_score"))
     both = second.transform(scored).withColumn("__p2", positive_probability())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,6 +10,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from txgraph.ml.ensemble import averaged, learners
 from txgraph.ml.score import positive_probability
 from txgraph.ml.split import seeded_order, stratified_split
 from txgraph.operators.metrics import average_precision, class_weight, roc_auc
@@ -90,9 +91,16 @@ def second_member(features: Sequence[str], params: ModelParams) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest])
 
 
+def two_members(features: Sequence[str], params: ModelParams) -> Pipeline:
+    """Boosted trees and a random forest, averaged in one pipeline."""
+    return averaged(
+        {"trees": boosted_trees(features, params), "forest": second_member(features, params)}
+    )
+
+
 def importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, int, float]]:
-    """(feature, place in the feature order, gain), highest gain first."""
-    gains = model.stages[-1].featureImportances.toArray()
+    """(feature, place in the feature order, gain), highest first; the mean over the members."""
+    gains = sum(m.featureImportances.toArray() for m in learners(model)) / len(learners(model))
     rows = [(name, i, float(gains[i])) for i, name in enumerate(features)]
     return sorted(rows, key=lambda r: (-r[2], r[1]))
 
@@ -109,14 +117,18 @@ def train_model(
     params: ModelParams = ModelParams(),
     features: Sequence[str] = ALL_FEATURES,
     tabular: Sequence[str] = TABULAR_FEATURES,
+    build: Callable[[Sequence[str], ModelParams], Pipeline] = boosted_trees,
 ) -> TrainResult:
-    """Fit both models on the same rows and compare them on the same held-out rows."""
+    """Fit both models on the same rows and compare them on the same held-out rows.
+
+    ``build`` is the untrained pipeline: ``boosted_trees``, or ``two_members``.
+    """
     ensure_checkpoint_dir(labelled.sparkSession)
     data = freeze(split_matrix(labelled, params))
     train, test = data.where("not is_test"), data.where("is_test")
     fitted = {}
     for name, columns in (("tabular", tabular), ("graph", features)):
-        model = boosted_trees(columns, params).fit(train)
+        model = build(columns, params).fit(train)
         scores = freeze(held_out_scores(model, test))
         auc = roc_auc(scores).first()["roc_auc"]
         fitted[name] = (model, auc, average_precision(scores).first()["average_precision"])

@@ -586,6 +586,21 @@ QUALIFY row_number() OVER (PARTITION BY k ORDER BY graph_id, ring_id) = 1""",
         *_DAILY_RINGS,
         recursive=True,
     ),
+    "ring_documents": _sql(
+        """, ks AS (SELECT graph_id, ring_id, list(id ORDER BY id) AS k, count(*) AS size FROM rm
+  WHERE ntype = 'account' GROUP BY ALL),
+ds AS (SELECT graph_id, ring_id, size FROM ks
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY graph_id, ring_id) = 1),
+pm AS (SELECT graph_id, ring_id, ntype, id,
+  (row_number() OVER (PARTITION BY graph_id, ring_id, ntype ORDER BY id) - 1) // 10 AS page
+  FROM rm WHERE ntype <> 'device')
+SELECT graph_id, ring_id, size, page,
+  coalesce(string_agg(id, ',' ORDER BY id) FILTER (ntype = 'account'), '') AS accounts,
+  coalesce(string_agg(id, ',' ORDER BY id) FILTER (ntype = 'merchant'), '') AS merchants
+FROM ds JOIN pm USING (graph_id, ring_id) GROUP BY ALL""",
+        *_DAILY_RINGS,
+        recursive=True,
+    ),
     "account_rings": _sql(
         """SELECT id AS account_id, graph_id, ring_id FROM rm WHERE ntype = 'account'
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY graph_id DESC, ring_id DESC) = 1""",

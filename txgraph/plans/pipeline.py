@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from txgraph.ml.score import score_transactions
-from txgraph.ml.train import TrainResult, train_model
+from txgraph.ml.train import TrainResult, boosted_trees, train_model
 from txgraph.operators.batches import batch_progress, batch_windows, first_occurrence, micro_batches, window_members
 from txgraph.operators.drift import psi
 from txgraph.operators.features import (
@@ -22,7 +23,7 @@ from txgraph.operators.graph import build_graph, with_hourly_graph, with_weekly_
 from txgraph.operators.investigate import alerts, investigate
 from txgraph.operators.metrics import run_metrics, top_importance
 from txgraph.operators.profile import class_separation, profile
-from txgraph.operators.rings import busiest_graph, detect_rings, distinct_rings, member_pages, top_rings
+from txgraph.operators.rings import busiest_graph, detect_rings, distinct_rings, ring_documents, top_rings
 from txgraph.schema import GRAPH_FEATURES, MAX_CASES, MICRO_BATCH_SIZE, WINDOW_MINUTES, ModelParams
 from txgraph.session import freeze
 from txgraph.sinks.lake import lake_path, run_stamp, write_documents, write_metadata, write_model, write_scores
@@ -70,13 +71,17 @@ def run_pipeline(
     max_cases: int = MAX_CASES,
     ring_scope: str = "own",
     stamp: str | None = None,
+    build: Callable[[Sequence[str], ModelParams], Pipeline] = boosted_trees,
     **metric_args,
 ) -> dict:
-    """Materialise, train, score, investigate and write; returns the run summary."""
+    """Materialise, train, score, investigate and write; returns the run summary.
+
+    ``build`` is the untrained model: ``boosted_trees`` or, averaged with a forest, ``two_members``.
+    """
     spark = log.sparkSession
     stamp = stamp or run_stamp()
     done = materialise(log, batch_size, window_minutes, **metric_args)
-    trained = train_model(with_labels(done.matrix, done.tx), params)
+    trained = train_model(with_labels(done.matrix, done.tx), params, build=build)
     scored = freeze(score_transactions(done.tx, done.matrix, trained.model))
     account_ring = done.ring_members.where("ntype = 'account'").withColumnRenamed(
         "id", "account_id"
@@ -86,9 +91,7 @@ def run_pipeline(
     )
     write_scores(scored, out, stamp)
     rings = distinct_rings(done.rings, done.ring_members)
-    pages = member_pages(done.ring_members.where("ntype <> 'device'"))
-    write_documents(rings, out, "rings", stamp)
-    write_documents(pages, out, "ring_members", stamp)
+    write_documents(ring_documents(rings, done.ring_members), out, "rings", stamp)
     write_documents(cases, out, "narratives", stamp)
     write_documents(batch_progress(done.windows, done.rings), out, "progress", stamp)
     publish(keyed_messages(alerts(scored)), path=lake_path(out, "alerts", stamp))

@@ -355,6 +355,15 @@ def rings_distinct(spark, sf):
     return R.distinct_rings(found, members).select("graph_id", "ring_id", "size")
 
 
+@query
+def ring_documents(spark, sf):
+    """Distinct rings with their accounts and merchants, ten of a type to a row."""
+    found, members = _daily_rings(spark, sf)
+    rows = R.ring_documents(R.distinct_rings(found, members), members, page=10)
+    joined = [F.array_join(c, ",").alias(c) for c in ("accounts", "merchants")]
+    return rows.select("graph_id", "ring_id", "size", "page", *joined)
+
+
 @query
 def account_rings(spark, sf):
     return R.account_rings(_daily_rings(spark, sf)[1])
