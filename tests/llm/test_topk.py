@@ -57,3 +57,35 @@ def test_odd_rows(spark):
     huge = spark.createDataFrame([(0, [3e38, 1.0], 1, ""), (1, [3e38, 1.0], 1, ""), (2, [-3e38, 0.0], 1, "")], SCHEMA)
     found = topk.top_k(huge, huge.where("vec_id = 0"), k=2).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in found] == [(1, 2**63 - 1), (2, -(2**63))]
+
+
+def test_bounds_rule_out_most_pairs_of_the_table(spark):
+    """Before the last step, over half of all pairs are gone: blocks in turn, bars handed on."""
+    import numpy as np
+
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows], np.int64)
+    data, _ = topk.quantise([list(r.embedding) for r in rows])
+    asked = np.flatnonzero(ids % 20 == 0)[:256]
+    best, shares, sizes = topk.Best(ids[asked], 20), [], []
+    for at in range(0, len(ids), 8192):
+        block = slice(at, at + 8192)
+        sizes.append(len(ids[block]))
+        for found in topk.search(data[asked].T, ids[asked], data[block].T, ids[block], 20, bars=best.bars(), shares=shares):
+            best.add(*found)
+    left = np.average([x[-1] for x in shares], weights=sizes)
+    print("alive before each step:", np.average(shares, axis=0, weights=sizes))
+    assert left < 0.5
+    scores = data[asked].astype(np.int64) @ data.T.astype(np.int64)
+    for row, query in enumerate(asked):
+        others = np.flatnonzero(ids != ids[query])
+        order = np.lexsort((ids[others], -scores[row, others]))[:20]
+        assert list(best.ids[row]) == list(ids[others[order]])
+
+
+def test_a_full_memory_gives_the_same_rows(spark):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, [float(round(x, 2)) for x in v], a, b) for i, v, a, b in rows_of(rng, 200, 8)], SCHEMA)
+    sizes = {"k": 4, "query_rows": 3, "candidate_rows": 11}
+    whole = topk.top_k(df, df.where("vec_id % 20 = 0"), **sizes).collect()
+    assert sorted(whole) == sorted(topk.top_k(df, df.where("vec_id % 20 = 0"), **sizes, held_rows=0).collect())

@@ -2,9 +2,12 @@
 
 Vectors become blocks of rows, stored by dimension. A block of queries meets a block of
 candidates; scores grow by a few dimensions at a time. What the remaining dimensions can still
-add is bounded by the product of the remaining norms (Cauchy-Schwarz), so after each step the
-k-th best lower bound of a query rules out candidates, and the survivors are compacted.
-Each pair of blocks gives at most k rows a query; a window keeps the best k of all blocks.
+add is bounded by the product of the remaining norms (Cauchy-Schwarz). A query's bar is the k-th
+best score it has met: the candidates that lead after a step are scored in full at once, and a
+task hands its bars on from block to block. After each step a query drops the candidates
+whose bound stays below its bar, and few survivors are compacted. A task merges what its blocks
+give (at most HELD_ROWS rows; beyond that a block's rows leave as they are), and a window keeps
+the best k of all tasks.
 
 The queries are a stated set. Candidate blocks stay where one shuffle put them; query blocks
 are dealt to each slot, and a slot holds about one candidate block.
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from txgraph.llm.common import freeze
 
 EXACT_FLOAT, EXACT_INT = 2.0**53, 2.0**63
+HELD_ROWS = 2_000_000  # rows of (id, score) that a task merges before they leave
 BLOCK_SCHEMA = "block string, n int, dim int, dtype string, ids binary, data binary"
 
 
@@ -83,6 +87,51 @@ def _matrix(data: bytes, kind: str, dim: int, n: int) -> np.ndarray:
     return np.frombuffer(data, dtype=kind).reshape(dim, n)
 
 
+def _leading(scores: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the n highest scores, in no order."""
+    return np.argpartition(scores, len(scores) - n)[len(scores) - n :] if n < len(scores) else np.arange(len(scores))
+
+
+def _survivors(
+    left: np.ndarray, right: np.ndarray, own: np.ndarray, k: int, bars: np.ndarray, step: int
+) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(alive, score) of every pair; scores are whole where a pair is alive.
+
+    ``bars`` are scores that k candidates of a query are known to reach. Also the share of pairs
+    alive before each step but the first.
+    """
+    dim, n = right.shape
+    # The dimensions of most mass come first, so that the remaining norms fall quickly.
+    mass = np.argsort(-(right**2).sum(axis=1), kind="stable")
+    left, right = left[mass], right[mass]
+    cuts = list(range(0, dim, step))
+    alive, scores, shares = ~own, np.zeros(own.shape), []
+    bars = bars.astype(np.float64)
+    for cut in cuts:
+        if cut:
+            shares.append(float(alive.mean()) if alive.size else 0.0)
+        part = right[cut : cut + step]
+        if not cut or shares[-1] > 0.5:
+            scores += left[cut : cut + step].T @ part
+        else:
+            for row in range(len(scores)):
+                at = np.flatnonzero(alive[row])
+                scores[row, at] += left[cut : cut + step, row] @ part[:, at]
+        if cut + step >= dim:
+            break
+        for row in range(len(scores)):
+            lead = _leading(np.where(alive[row], scores[row], -np.inf), 4 * k)
+            lead = lead[alive[row, lead]]
+            if len(lead) >= k:
+                whole = left[:, row] @ right[:, lead]
+                bars[row] = max(bars[row], np.partition(whole, len(whole) - k)[len(whole) - k])
+        rest_left = np.sqrt((left[cut + step :] ** 2).sum(axis=0))
+        rest_right = np.sqrt((right[cut + step :] ** 2).sum(axis=0))
+        slack = np.outer(rest_left * (1 + 1e-9), rest_right) + 1e-6
+        alive &= scores + slack >= bars[:, None]
+    return alive & (scores >= bars[:, None]), scores, shares
+
+
 def search(
     queries: np.ndarray,
     query_ids: np.ndarray,
@@ -90,53 +139,72 @@ def search(
     candidate_ids: np.ndarray,
     k: int,
     step: int = 16,
+    bars: np.ndarray | None = None,
+    shares: list[list[float]] | None = None,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query row, candidate ids, scores) of the best k, both sides given by dimension."""
+    """(query row, candidate ids, scores) of the best k, both sides given by dimension.
+
+    Candidates below a query's bar (a score that k others reach) may be left out. ``shares``
+    receives the shares of pairs alive before each step.
+    """
     dim, n = candidates.shape
     reach = max(1, dim) * float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0))
     kind = np.float64 if reach < EXACT_FLOAT else np.int64 if reach < EXACT_INT else object
-    if kind is object:
-        left = np.array([[int(x) for x in row] for row in queries], dtype=object).reshape(queries.shape)
-        right = np.array([[int(x) for x in row] for row in candidates], dtype=object).reshape(candidates.shape)
-    else:
-        left, right = queries.astype(kind), candidates.astype(kind)
-    alive = np.arange(n)
-    scores = np.zeros((queries.shape[1], n), dtype=kind)
+    own = query_ids[:, None] == candidate_ids[None, :]
     if kind is np.float64:
-        # The dimensions of most mass come first, so that the remaining norms fall quickly.
-        mass = np.argsort(-(right**2).sum(axis=1), kind="stable")
-        left, right = left[mass], right[mass]
-        cuts = list(range(0, dim, step))
-        left_rest = [np.sqrt((left[c:] ** 2).sum(axis=0)) for c in [*cuts[1:], dim]]
-        right_rest = [np.sqrt((right[c:] ** 2).sum(axis=0)) for c in [*cuts[1:], dim]]
-        for at, cut in enumerate(cuts):
-            scores += left[cut : cut + step].T @ right[cut : cut + step][:, alive]
-            if cut + step >= dim or len(alive) <= 4 * k:
-                continue
-            slack = np.outer(left_rest[at], right_rest[at][alive]) * (1 + 1e-9) + 1e-6
-            low = scores - slack
-            low[query_ids[:, None] == candidate_ids[alive][None, :]] = -np.inf
-            bar = np.partition(low, len(alive) - k, axis=1)[:, len(alive) - k]
-            keep = ((scores + slack) >= bar[:, None]).any(axis=0)
-            if keep.mean() < 0.9:
-                alive, scores = alive[keep], scores[:, keep]
+        bars = np.full(len(query_ids), -np.inf) if bars is None else bars
+        alive, scores, found = _survivors(queries.astype(kind), candidates.astype(kind), own, k, bars, step)
+        if shares is not None:
+            shares.append(found)
     else:
-        scores = left.T.dot(right) if dim else scores
-    ids = candidate_ids[alive]
+        # Whole numbers beyond a double's are scored in full.
+        whole = np.vectorize(int, otypes=[object]) if kind is object else lambda x: x.astype(kind)
+        left, right = (whole(x) if x.size else x.astype(kind) for x in (queries, candidates))
+        alive, scores = ~own, left.T.dot(right)
     for row in range(queries.shape[1]):
-        own = np.flatnonzero(ids != query_ids[row])
-        values = scores[row, own]
-        if len(own) > k and kind is not object:
-            bar = np.partition(values, len(own) - k)[len(own) - k]
-            near = values >= bar
-            own, values = own[near], values[near]
+        at = np.flatnonzero(alive[row])
+        values = scores[row, at]
         if kind is object:
-            best = sorted(range(len(own)), key=lambda i: (-values[i], ids[own[i]]))[:k]
+            best = sorted(range(len(at)), key=lambda i: (-values[i], candidate_ids[at[i]]))[:k]
             clipped = [max(-(2**63), min(2**63 - 1, values[i])) for i in best]
-            yield row, ids[own[best]], np.array(clipped, dtype=np.int64)
+            yield row, candidate_ids[at[best]], np.array(clipped, dtype=np.int64)
             continue
-        best = np.lexsort((ids[own], -values))[:k]
-        yield row, ids[own[best]], values[best].astype(np.int64)
+        if len(at) > k:
+            near = values >= np.partition(values, len(at) - k)[len(at) - k]
+            at, values = at[near], values[near]
+        best = np.lexsort((candidate_ids[at], -values))[:k]
+        yield row, candidate_ids[at[best]], values[best].astype(np.int64)
+
+
+class Best:
+    """The best k of each query of a block, over the candidate blocks met so far."""
+
+    def __init__(self, query_ids: np.ndarray, k: int):
+        self.query_ids, self.k = query_ids, k
+        self.ids = [np.zeros(0, np.int64)] * len(query_ids)
+        self.scores = [np.zeros(0, np.int64)] * len(query_ids)
+
+    def bars(self) -> np.ndarray:
+        full = [float(s[-1]) if len(s) == self.k else -np.inf for s in self.scores]
+        return np.array(full, dtype=np.float64)
+
+    def add(self, row: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids = np.concatenate([self.ids[row], ids])
+        scores = np.concatenate([self.scores[row], scores])
+        # The complement orders descending without overflow.
+        order = np.lexsort((ids, ~scores))[: self.k]
+        self.ids[row], self.scores[row] = ids[order], scores[order]
+
+    def batch(self, block: str) -> pa.RecordBatch:
+        rows = np.repeat(np.arange(len(self.ids)), [len(x) for x in self.ids])
+        columns = [
+            pa.array([block] * len(rows), pa.string()),
+            pa.array(rows, pa.int32()),
+            pa.array(self.query_ids[rows], pa.int64()),
+            pa.array(np.concatenate([*self.ids, np.zeros(0, np.int64)]), pa.int64()),
+            pa.array(np.concatenate([*self.scores, np.zeros(0, np.int64)]), pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["q_block", "q_row", "query_id", "vec_id", "score"])
 
 
 def top_k(
@@ -147,6 +215,7 @@ def top_k(
     vector_column: str = "embedding",
     query_rows: int = 256,
     candidate_rows: int = 8192,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each query row."""
     held = freeze(blocks(vectors, candidate_rows, id_column, vector_column))
@@ -161,31 +230,30 @@ def top_k(
     columns = ["q_block", "q_n", "q_dtype", "q_ids", "q_data", "n", "dim", "dtype", "ids", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Best] = {}
+        room = held_rows
         for batch in batches:
             for at in range(batch.num_rows):
                 x = {name: batch.column(i)[at].as_py() for i, name in enumerate(columns)}
                 q_ids = np.frombuffer(x["q_ids"], "<i8")
-                found = list(
-                    search(
-                        _matrix(x["q_data"], x["q_dtype"], x["dim"], x["q_n"]),
-                        q_ids,
-                        _matrix(x["data"], x["dtype"], x["dim"], x["n"]),
-                        np.frombuffer(x["ids"], "<i8"),
-                        k,
-                    )
-                )
-                sizes = [len(ids) for _, ids, _ in found]
-                rows = np.repeat([row for row, _, _ in found], sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([x["q_block"]] * len(rows), pa.string()),
-                        pa.array(rows, pa.int32()),
-                        pa.array(q_ids[rows], pa.int64()),
-                        pa.array(np.concatenate([ids for _, ids, _ in found]), pa.int64()),
-                        pa.array(np.concatenate([s for _, _, s in found]), pa.int64()),
-                    ],
-                    names=["q_block", "q_row", "query_id", "vec_id", "score"],
+                best = held.get(x["q_block"]) or Best(q_ids, k)
+                if x["q_block"] not in held and room >= len(q_ids) * k:
+                    held[x["q_block"]] = best
+                    room -= len(q_ids) * k
+                found = search(
+                    _matrix(x["q_data"], x["q_dtype"], x["dim"], x["q_n"]),
+                    q_ids,
+                    _matrix(x["data"], x["dtype"], x["dim"], x["n"]),
+                    np.frombuffer(x["ids"], "<i8"),
+                    k,
+                    bars=best.bars(),
                 )
+                for row, ids, scores in found:
+                    best.add(row, ids, scores)
+                if x["q_block"] not in held:
+                    yield best.batch(x["q_block"])
+        for block, best in held.items():
+            yield best.batch(block)
 
     local = pairs.select(*columns).mapInArrow(
         run, "q_block string, q_row int, query_id long, vec_id long, score long"
