@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -81,3 +82,55 @@ def test_overlaps_become_one_and_columns_stay(spark, make_docs, odd_rows):
 def test_no_python_in_the_plan(spark, make_docs):
     plan = pii.report(make_docs([(1, "a@b.cd")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_terms_of_whole_documents_equal_brute_force(spark, make_docs):
+    """Far terms, names of two letters, identifiers with digits; scores by counting texts."""
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}{c}" for a in "kmt" for b in "aeio" for c in ("ra", "ns", "")]
+    plain = [" ".join(rng.choice(vocabulary) for _ in range(40)) for _ in range(150)]
+    far = " ".join(["filler"] * 90)
+    holds = [
+        f"{rng.choice(vocabulary)} w{i}a Bo wrote {far} {'x' * i} jane.roe@site.org y{i}yy. {far} Key QX77Z1, card {rng.choice(vocabulary)}"
+        for i in range(8)
+    ]
+    rows = [(i, t) for i, t in enumerate([*plain, *holds, far, "the key qx77z1 and more", ""])]
+    docs = make_docs([*rows, (900, None)])
+    got = {
+        (r.value, r.term): round(r.disclosure, 9)
+        for r in pii.disclosing_terms(docs, pii.base_spans(docs)).collect()
+    }
+    terms = []
+    for _, text in [*rows, (900, "")]:
+        outside = re.sub(PLAIN["email"], " ", text)
+        runs = re.findall(r"[^\W_]+", outside)
+        terms.append({x.lower() for x in runs if len(x) >= 3 or (len(x) == 2 and x[0].isupper())})
+    held = [i for i, (_, t) in enumerate(rows) if "jane.roe@site.org" in t]
+    n, expected = len(rows) + 1, {}
+    for term in set().union(*(terms[i] for i in held)):
+        both, every = sum(term in terms[i] for i in held), sum(term in t for t in terms)
+        score = math.log(n * both / (every * len(held))) / math.log(n / len(held))
+        if both >= 3 and score >= 0.8:
+            expected["jane.roe@site.org", term] = round(score, 9)
+    assert got == expected
+    assert {"bo", "wrote", "qx77z1", "key", "card", "filler"} <= {t for _, t in got}
+    texts = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "QX77Z1" not in texts[len(plain)] and "Bo" not in texts[len(plain)]
+    assert texts[900] is None and texts[len(rows) - 2] == rows[-2][1]
+
+
+def test_near_copies_are_no_evidence(spark, make_docs):
+    rows = [(i, f"x{i} plain words of the corpus") for i in range(60)]
+    same = "that goes on about this and that for some time without a change"
+    rows += [(100 + i, f"version{i} of a long Qwrtz text {same} to me@mail.com and end{i}") for i in range(5)]
+    docs = make_docs(rows)
+    assert pii.disclosing_terms(docs, pii.base_spans(docs)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark, make_docs):
+    docs = make_docs([(1, "to a@b.cd now"), (2, None)])
+    for name in ["_d", "_h", "_spans", "d", "h", "row", "spans", "text_hash", "start"]:
+        docs = docs.withColumn(name, docs.doc_id + 5)
+    out = {r.doc_id: r for r in pii.sanitise(docs).collect()}
+    assert out[1].text == "to [EMAIL] now" and out[2].text is None
+    assert list(out[1].asDict()) == docs.columns and out[1]["_spans"] == out[2]["_d"] - 1 == 6

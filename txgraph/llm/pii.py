@@ -3,17 +3,20 @@
 Base spans are e-mail addresses, IPv4 addresses, payment cards and phone numbers: leftmost
 non-overlapping matches of each kind, of which those failing a check (octets, Luhn, number of
 digits) are dropped. On top, corpus co-occurrence tells which terms give a protected value
-away: for a value e and a term t near it,
+away: for a value e and a term t anywhere in the same documents,
 
     disclosure(t, e) = PMI(t, e) / IC(e),   PMI = ln(N n(t, e) / (n(t) n(e))),  IC = ln(N / n(e)),
 
-with document counts over the whole corpus; 1 means that whoever reads t knows e. A term needs
-``support`` different contexts of the value, so copies of one text are no evidence. In documents
-that hold e, terms at or above ``remove`` vanish, those at or above ``generalise`` become a
-placeholder, base spans become their kind.
+with document counts over whole texts; 1 means that whoever reads t knows e. Terms are runs of at
+least three letters and digits, and names of two (a capital, or a letter without case, first);
+parts of e itself are none. Of documents in which the same ``context`` characters stand before
+(or behind) e, one is evidence: a term needs ``support`` of them on both counts, so copies of one
+text are none, nor are near copies that differ elsewhere. In documents that hold e, terms at or above ``remove``
+vanish, those at or above ``generalise`` become a placeholder, base spans become their kind.
 
-Everything is DataFrame functions. Only matches are shuffled for the positions, never texts;
-patterns start at a run's edge or where the last match ended, so long runs cost linear time.
+Everything is DataFrame functions. Only matches are shuffled for the positions. A term in more
+than n(e) (N / n(e))^(1 - generalise) documents can not reach the threshold, so words that are
+common throughout meet no values. Patterns start at a run's edge or where the last match ended, so long runs cost linear time.
 
 Null texts count as empty: no spans, an empty result. Equal rows (document and text) give equal
 results; rows of one id and different texts are told apart by a hash of the text. Null ids are
@@ -28,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txgraph.llm.common import freeze, small
+from txgraph.operators.skew import heavy_threshold, salted_join
+from txgraph.session import MAX_BROADCAST_ROWS
 
 # --- fixed values -----------------------------------------------------------
 KINDS = ["email", "ip", "card", "phone"]
@@ -41,13 +46,13 @@ PATTERNS = {
 # --- end of fixed values ----------------------------------------------------
 
 HAS = {"email": "@", "ip": ".", "phone": "+"}  # a text without it has no match
-WORD = r"\p{L}{3,}"
+WORD = r"(?<![\p{L}\p{M}\p{N}])(?:[\p{L}\p{M}\p{N}]{3,}+|[\p{Lu}\p{Lo}][\p{L}\p{M}\p{N}](?![\p{L}\p{M}\p{N}]))"
 
 
 @dataclass(frozen=True)
 class Settings:
-    context: int = 64  # characters on either side of a value
-    support: int = 3  # different contexts that a term must share with a value
+    context: int = 64  # characters on either side of a value that tell copies of a text
+    support: int = 3  # documents of different contexts that a term must share with a value
     remove: float = 0.95
     generalise: float = 0.8
 
@@ -145,52 +150,87 @@ def base_spans(docs: DataFrame, context: int = Settings.context) -> DataFrame:
     return _positions(rows).where(_valid(F.col("kind"), F.col("value")))
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(kind, value, term, disclosure, action) of terms at or above the lower threshold."""
-    value = F.lower("value").alias("value")
-    mentions = base.select("doc_id", "text_hash", "kind", value, "before", "after")
-    contexts = mentions.withColumn("context", F.xxhash64("before", "after"))
-    values = contexts.groupBy("kind", "value").agg(
-        F.countDistinct("context").alias("contexts"),
-        F.countDistinct(F.struct("doc_id", "text_hash")).alias("n_value"),
-    ).where(F.col("contexts") >= s.support).drop("contexts")
-    near = F.array_distinct(
-        F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(WORD), F.lit(0))
+def words(text: Column) -> Column:
+    """Distinct terms of a text outside its e-mail addresses, in lower case."""
+    outside = F.when(text.contains("@"), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(outside, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def evidence(base: DataFrame, context: int = Settings.context) -> DataFrame:
+    """(kind, value, doc_id, text_hash, first_before, first_after): one row per document and value.
+
+    The two marks tell the one document of each text before the value, and of each behind it. A
+    side of fewer than ``context`` characters says little: there both sides together count.
+    """
+    of = ["kind", "value"]
+
+    def side(name: str) -> Column:
+        alone = F.length(name) >= context
+        return F.min(F.when(alone, F.xxhash64(name)).otherwise(F.xxhash64("before", "after")))
+
+    held = base.withColumn("value", F.lower("value")).groupBy(*of, "doc_id", "text_hash").agg(
+        side("before").alias("b"), side("after").alias("a")
     )
-    pairs = (
-        contexts.join(values, ["kind", "value"])
-        .select("kind", "value", "n_value", "context", "doc_id", "text_hash", F.explode(near).alias("term"))
-        .groupBy("kind", "value", "n_value", "term")
-        .agg(
-            F.countDistinct("context").alias("contexts"),
-            F.countDistinct(F.struct("doc_id", "text_hash")).alias("n_both"),
-        )
-        .where(F.col("contexts") >= s.support)
-        .drop("contexts")
+    document = F.struct("doc_id", "text_hash")
+
+    def first(side: str, before: int) -> DataFrame:
+        least = held.groupBy(*of, side).agg(F.min(document).alias("d"))
+        marks = [F.lit(before).alias("first_before"), F.lit(1 - before).alias("first_after")]
+        return least.select(*of, "d.*", *marks)
+
+    plain = held.select(*of, "doc_id", "text_hash", F.lit(0).alias("first_before"), F.lit(0).alias("first_after"))
+    marked = plain.unionByName(first("b", 1)).unionByName(first("a", 0))
+    return marked.groupBy(*of, "doc_id", "text_hash").agg(
+        F.max("first_before").alias("first_before"), F.max("first_after").alias("first_after")
     )
+
+
+def disclosing_terms(docs: DataFrame, base: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """(kind, value, term, disclosure, action) of terms at or above the lower threshold."""
     given = keyed(docs)
     n = F.lit(float(max(1, given.count())))
-    information = F.log(n / F.col("n_value"))
-
-    def disclosure(n_term: str) -> Column:
-        mutual = F.log(n * F.col("n_both") / (F.col(n_term) * F.col("n_value")))
-        return F.when(information > 0, mutual / information).otherwise(0.0)
-
-    # A term is in at least as many documents as it stands near any value in. With that count
-    # the disclosure is an upper bound, which spares the common words the count over the corpus.
-    around = (
-        contexts.select("doc_id", "text_hash", F.explode(near).alias("term"))
-        .groupBy("term")
-        .agg(F.countDistinct(F.struct("doc_id", "text_hash")).alias("n_near"))
+    independent = F.least(F.sum("first_before"), F.sum("first_after"))
+    held = freeze(evidence(base, s.context))
+    values = (
+        held.groupBy("kind", "value")
+        .agg(F.count("*").alias("n_value"), independent.alias("contexts"))
+        .where((F.col("contexts") >= s.support) & (F.col("n_value") < n))
+        .withColumn("most", F.col("n_value") * F.pow(n / F.col("n_value"), 1 - s.generalise) * (1 + 1e-9))
+        .drop("contexts")
     )
-    pairs = freeze(pairs.join(around, "term").where(disclosure("n_near") >= s.generalise).drop("n_near"))
+    values = freeze(values)
+    count, most = values.agg(F.count("*"), F.max("most")).first()
+    holders = freeze(held.join(small(values, count), ["kind", "value"]))
     # Document frequencies of the whole corpus, added up before anything is joined to them.
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    counts = given.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    scored = (
-        counts.join(small(pairs, pairs.count()), "term")
-        .withColumn("disclosure", disclosure("n_term"))
-        .where(F.col("disclosure") >= s.generalise)
+    counts = given.select(F.explode(words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    counts = freeze(counts.where(F.col("n_term").between(s.support, most or 0)))
+    documents = holders.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+    texts = given.join(small(documents, holders.count()), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    terms = texts.select("doc_id", "text_hash", F.explode(words(F.col("text"))).alias("term"))
+    n_counts, total = counts.agg(F.count("*"), F.sum("n_term")).first()
+    if n_counts <= MAX_BROADCAST_ROWS:
+        rare = terms.join(F.broadcast(counts), "term")
+    else:
+        # A term of many documents is dealt over several tasks; n_term bounds its rows.
+        limit = heavy_threshold(total)
+        frequent = counts.where(F.col("n_term") >= limit).withColumnRenamed("n_term", "n")
+        rare = salted_join(terms, counts, ["term"], frequent, limit)
+    holding = holders.select(
+        F.col("doc_id").alias("d"), F.col("text_hash").alias("h"),
+        "kind", "value", "n_value", "most", "first_before", "first_after",
+    )
+    part = (F.col("kind") != "email") & (F.col("value").contains(F.col("term")))
+    pairs = (
+        rare.join(holding, same & (F.col("n_term") <= F.col("most")))
+        .where(~part)
+        .groupBy("kind", "value", "term", "n_value", "n_term")
+        .agg(F.count("*").alias("n_both"), independent.alias("contexts"))
+        .where(F.col("contexts") >= s.support)
+    )
+    mutual = F.log(n * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
+    scored = pairs.withColumn("disclosure", mutual / F.log(n / F.col("n_value"))).where(
+        F.col("disclosure") >= s.generalise
     )
     action = F.when(F.col("disclosure") >= s.remove, "remove").otherwise("generalise")
     return scored.select("kind", "value", "term", "disclosure", action.alias("action"))
@@ -291,19 +331,20 @@ def sanitise(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         .select("doc_id", "text_hash", "first.start", "first.order", "end", "first.kind")
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    given = docs.withColumns({"_d": F.col("doc_id").cast("long"), "_h": F.xxhash64(text)})
-    lists = _by_document(merged).select(
-        F.col("doc_id").alias("_ld"), F.col("text_hash").alias("_lh"), F.col("spans").alias("_spans")
+    # The given columns travel as one struct, so that none of them can clash.
+    given = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("d"), F.xxhash64(text).alias("h")
     )
-    joined = given.join(lists, F.col("_d").eqNullSafe(F.col("_ld")) & (F.col("_h") == F.col("_lh")), "left")
+    lists = _by_document(merged).select("doc_id", "text_hash", "spans")
+    joined = given.join(lists, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash")), "left")
     label = (
         lambda x: F.when(x["kind"] == "term_removed", "")
         .when(x["kind"] == "term_generalised", "[TERM]")
         .otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
     )
-    source = F.col("text").cast("string")
+    source = F.col("row.text").cast("string")
     cut = F.aggregate(
-        "_spans",
+        "spans",
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda acc, x: F.struct(
             F.concat(
@@ -315,5 +356,5 @@ def sanitise(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         ),
         lambda acc: F.concat(acc["out"], F.substr(source, (acc["at"] + 1).cast("int"), F.length(source))),
     )
-    clean = F.when(F.col("_spans").isNull(), source).otherwise(cut)
-    return joined.withColumn("text", clean).drop("_d", "_h", "_ld", "_lh", "_spans")
+    clean = F.when(F.col("spans").isNull(), source).otherwise(cut)
+    return joined.select(*[clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
