@@ -6,6 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
+from pyspark.sql import functions as F
+
 from txgraph.llm import warc
 
 SCHEMA = T.StructType(
@@ -67,3 +69,17 @@ def test_short_payloads_are_no_revisits(spark, tmp_path):
     got = {r.page_id: r.refers_to for r in warc.archive(df, min_bytes=3, uri=f"file://{tmp_path}/x").collect()}
     assert got == {1: None, 2: None, 3: 4, 4: None}
     assert warc.archive(df.where("false"), uri=f"file://{tmp_path}/y").count() == 0
+
+
+def test_read_back_is_dealt_by_bytes(spark):
+    """One long archive is read by tasks in proportion to its bytes, every record once."""
+    rows = [(i, f"http://h{i % 7}.org/p{i}", f"<p>{i}</p>" * 20, "en") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, lang string").coalesce(1)
+    uri = warc.scratch_uri(spark, "warc-test")
+    runs = warc.write_archives(warc.with_roles(pages), uri)
+    index = warc.merge_index(runs)
+    total = sum(r.length for r in index.collect())
+    read = warc.read_archives(index, uri, task_bytes=total // 40)
+    sizes = read.groupBy(F.spark_partition_id()).count().collect()
+    assert read.rdd.getNumPartitions() >= 40 and max(r["count"] for r in sizes) < 60
+    assert sorted(r.page_id for r in read.collect()) == list(range(300))

@@ -297,8 +297,18 @@ def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def read_archives(index: DataFrame, uri: str, payload: bool = False) -> DataFrame:
-    """Records at the index's places, each archive opened by one task; payloads on request."""
+def read_archives(
+    index: DataFrame,
+    uri: str,
+    payload: bool = False,
+    archive_bytes: int | None = None,
+    task_bytes: int = 32 << 20,
+) -> DataFrame:
+    """Records at the index's places; payloads on request.
+
+    Stretches of archives of ``task_bytes`` are dealt to tasks, which read them by offset; the
+    number of tasks follows from the bytes of all records (summed up where not given).
+    """
     names = [part.strip().split(" ")[0] for part in RECORD_SCHEMA.split(",")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
     extra = [("urlkey", pa.string()), ("range_no", pa.int64()), ("position", pa.int64())]
@@ -329,7 +339,12 @@ def read_archives(index: DataFrame, uri: str, payload: bool = False) -> DataFram
                 source.close()
 
     out = f"{RECORD_SCHEMA}, urlkey string, range_no long, position long" + ", payload binary" * payload
-    dealt = index.select("urlkey", "range_no", "position", "file", "offset", "length").repartition("file")
+    if archive_bytes is None:
+        archive_bytes = index.agg(F.sum("length")).first()[0]
+    tasks = partitions_for(index.sparkSession, archive_bytes or 0, task_bytes)
+    stretch = F.floor(F.col("offset") / task_bytes)
+    places = index.select("urlkey", "range_no", "position", "file", "offset", "length")
+    dealt = places.repartition(tasks, "file", stretch)
     return dealt.sortWithinPartitions("file", "offset").mapInArrow(run, out)
 
 
@@ -337,4 +352,5 @@ def archive(pages: DataFrame, min_bytes: int = 0, uri: str | None = None) -> Dat
     """Write all pages, merge the index, read everything back: one row per page."""
     uri = uri or scratch_uri(pages.sparkSession, "warc")
     runs = write_archives(with_roles(pages, min_bytes), uri)
-    return read_archives(merge_index(runs), uri)
+    archive_bytes = runs.agg(F.sum("length")).first()[0] or 0
+    return read_archives(merge_index(runs), uri, archive_bytes=archive_bytes)
