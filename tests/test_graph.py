@@ -10,7 +10,7 @@ from txgraph.operators import communities
 from txgraph.operators.communities import colour_rounds, greedy_colours, propagate_labels
 from txgraph.operators.components import component_sizes, connected_components
 from txgraph.operators.features import graph_features
-from txgraph.operators.pagerank import pagerank
+from txgraph.operators.pagerank import pagerank, settled
 from txgraph.operators.rings import (
     account_rings,
     detect_rings,
@@ -357,3 +357,33 @@ def test_frontier_sweeps(spark, monkeypatch, randoms, hub_degree):
     for gid, p in plain.items():
         assert {n: got[(gid, n)] for n in p.nodes} == p.labels()
     assert any(frontier for _, _, frontier in trace) and trace[-1][1] == 0
+
+
+@pytest.mark.parametrize("kernel", [512, 0])
+def test_ranks_at_the_cap_are_flagged_and_refused(small, kernel):
+    capped = pagerank(small, max_iter=1, kernel_nodes=kernel)
+    assert {r.converged for r in capped.collect()} == {False}
+    with pytest.raises(Exception, match="did not converge"):
+        settled(capped).collect()
+    whole = pagerank(small, kernel_nodes=kernel)
+    assert sorted(settled(whole).collect()) == sorted(whole.drop("converged").collect())
+
+
+def test_sketches_of_panes_unite_within_the_bound(spark):
+    """A merchant with 30,000 accounts over 40 panes; repeats and nulls change nothing."""
+    from txgraph.operators import sketches as SK
+
+    rows = spark.range(30_000).selectExpr(
+        "concat('A', id) as account_id", "concat('D', id % 3) as device_id", "'M' as merchant_id", "id % 40 as hour"
+    )
+    tx = rows.unionByName(rows.where("hour < 9").withColumn("hour", F.col("hour") + 1))
+    tx = tx.unionByName(tx.limit(5).withColumn("account_id", F.lit(None).cast("string")))
+    panes = SK.pane_sketches(tx, F.col("hour"))
+    got = {(r.ntype, r.id, r.side): r.estimate for r in SK.united(panes).where("ntype <> 'account'").collect()}
+    assert set(got) == {("merchant", "M", "account"), *[("device", f"D{i}", "account") for i in range(3)]}
+    for key, estimate in got.items():
+        exact = 30_000 if key[0] == "merchant" else 10_000
+        assert abs(estimate - exact) <= 5 * 1.04 / 64 * exact
+    accounts = SK.united(panes).where("ntype = 'account'")
+    assert accounts.count() == 60_000 and accounts.where("estimate <> 1").count() == 0
+    assert panes.where("ntype = 'merchant'").agg(F.max(F.length("sketch"))).first()[0] < 5_000

@@ -14,7 +14,7 @@ from txgraph.operators.graph import (
     edge_table,
     endpoint_table,
 )
-from txgraph.operators.pagerank import pagerank
+from txgraph.operators.pagerank import pagerank, settled
 from txgraph.operators.skew import HEAVY_MIN, lookup_join
 from txgraph.schema import ALL_FEATURES, GRAPH_FEATURES, INTEGER_GRAPH_FEATURES
 from txgraph.session import freeze
@@ -42,14 +42,17 @@ def velocity(tx: DataFrame) -> DataFrame:
 def node_metrics(
     graph: TxGraph, pagerank_args: dict | None = None, betweenness_args: dict | None = None
 ) -> DataFrame:
-    """Degree, PageRank, betweenness and component size of every node."""
-    ranks = pagerank(graph, **(pagerank_args or {}))
+    """Degree, PageRank, betweenness and component size of every node.
+
+    Ranks that do not converge end the job, as nothing downstream could tell them apart.
+    """
+    ranks = settled(pagerank(graph, **(pagerank_args or {})))
     between = betweenness(graph, **(betweenness_args or {}))
     parts = connected_components(graph)
     sized = parts.join(component_sizes(parts), ["graph_id", "component"])
     return (
         graph.vertices.drop("hub", "size", "strength")
-        .join(ranks.select("graph_id", "node", "pagerank"), ["graph_id", "node"], "left")
+        .join(ranks, ["graph_id", "node"], "left")
         .join(between.drop("sampled"), ["graph_id", "node"], "left")
         .join(sized.select("graph_id", "node", "component_size"), ["graph_id", "node"], "left")
     )

@@ -460,6 +460,16 @@ JOIN (SELECT graph_id, count(*) AS n_edges FROM ed GROUP BY ALL) USING (graph_id
   count(DISTINCT merchant_id) AS unique_merchants FROM g GROUP BY ALL""",
         _graph(),
     ),
+    "fanout_daily_sketched": _sql(
+        """SELECT graph_id, ntype, id, side, count(DISTINCT other) AS neighbours, TRUE AS within_bound
+FROM (
+  SELECT graph_id, 'account' AS ntype, account_id AS id, 'device' AS side, device_id AS other FROM g
+  UNION ALL SELECT graph_id, 'account', account_id, 'merchant', merchant_id FROM g
+  UNION ALL SELECT graph_id, 'device', device_id, 'account', account_id FROM g
+  UNION ALL SELECT graph_id, 'merchant', merchant_id, 'account', account_id FROM g)
+GROUP BY ALL""",
+        _DAILY,
+    ),
     "velocity_hourly": _sql(
         "SELECT graph_id, account_id, count(*) AS velocity_ring_score FROM g GROUP BY ALL", _graph()
     ),

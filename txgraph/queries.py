@@ -19,9 +19,10 @@ from txgraph.operators import profile as P
 from txgraph.operators import quality as Q
 from txgraph.operators import rings as R
 from txgraph.operators import serving as S
+from txgraph.operators import sketches as SK
 from txgraph.operators.betweenness import betweenness
 from txgraph.operators.components import component_sizes, connected_components
-from txgraph.operators.pagerank import pagerank
+from txgraph.operators.pagerank import pagerank, settled
 from txgraph.operators.triangles import clustering
 from txgraph.ml import split as SP
 from txgraph.schema import GRAPH_FEATURES, TABULAR_FEATURES
@@ -177,6 +178,19 @@ def fanout_hourly(spark, sf):
     )
 
 
+@query
+def fanout_daily_sketched(spark, sf):
+    """Daily distinct neighbours from hourly sketches, beside the exact count and its error bound."""
+    tx = daily(spark, sf)
+    keys = ["graph_id", "ntype", "id", "side"]
+    estimates = SK.united(SK.pane_sketches(tx, F.date_trunc("hour", "event_time"), "graph_id"), "graph_id")
+    exact = SK.neighbours(tx, "graph_id").distinct().groupBy(*keys).agg(F.count("*").alias("neighbours"))
+    error = F.abs(F.col("estimate") - F.col("neighbours"))
+    return exact.join(estimates, keys, "left").select(
+        *keys, "neighbours", F.coalesce(error <= SK.error_bound(F.col("neighbours")), F.lit(False)).alias("within_bound")
+    )
+
+
 @query
 def velocity_hourly(spark, sf):
     return FE.velocity(hourly(spark, sf))
@@ -204,7 +218,7 @@ def components_hourly(spark, sf):
 def pagerank_hourly(spark, sf):
     """To convergence of every window, at most 100 iterations."""
     graph = G.build_graph(hourly(spark, sf))
-    return named_nodes(graph, pagerank(graph)).select(
+    return named_nodes(graph, settled(pagerank(graph))).select(
         "graph_id", "ntype", "id", F.round("pagerank", 9).alias("pagerank")
     )
 
@@ -222,7 +236,7 @@ def pagerank_daily_fixed(spark, sf):
 def pagerank_daily(spark, sf):
     """To convergence of every day, by joins at every size of graph."""
     graph = G.build_graph(daily(spark, sf))
-    return named_nodes(graph, pagerank(graph, kernel_nodes=0)).select(
+    return named_nodes(graph, settled(pagerank(graph, kernel_nodes=0))).select(
         "graph_id", "ntype", "id", F.round("pagerank", 9).alias("pagerank")
     )
 
