@@ -19,6 +19,7 @@ ITERATIVE = {
     "betweenness_daily",
     "pagerank_daily",
     "graph_features_hourly",
+    "online_parity",
     "labels_daily",
     "rings_daily",
     "rings_weekly_top",

@@ -736,6 +736,12 @@ SELECT tx_id FROM tx, mid WHERE NOT (us < m)"""
     "parity_mismatches": _sql(
         """SELECT CAST(2 * count(*) FILTER (is_fraud = 1 AND tx_type <> 'DEBIT')
   + count(*) FILTER (tx_type = 'DEBIT') AS BIGINT) AS n_mismatches FROM tx"""
+    ),
+    "online_parity": _sql(
+        """SELECT side, n_mismatches FROM (
+  SELECT 'training' AS side, count(*) FILTER (is_fraud = 1 OR tx_type = 'DEBIT') AS n_mismatches FROM tx
+  UNION ALL SELECT 'serving', count(*) FILTER (is_fraud = 1 AND tx_type <> 'DEBIT') FROM tx)
+WHERE n_mismatches > 0"""
     ),
     "scored_rule": _sql(
         """SELECT tx_id, account_id, device_id, merchant_id, amount, fraud_score, decision, is_high_risk,

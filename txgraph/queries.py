@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,8 +27,9 @@ from txgraph.operators.pagerank import pagerank, settled
 from txgraph.operators.triangles import clustering
 from txgraph.ml import split as SP
 from txgraph.schema import GRAPH_FEATURES, TABULAR_FEATURES
-from txgraph.session import freeze
+from txgraph.session import ensure_checkpoint_dir, freeze
 from txgraph.sinks.messages import keyed_messages
+from txgraph.sinks.online import online_view, upsert_batch
 from txgraph.sources.events import load_transactions
 from txgraph.sources.transactions import conform, parse_json
 
@@ -564,6 +566,23 @@ def parity_mismatches(spark, sf):
     )
 
 
+@query
+def online_parity(spark, sf):
+    """As parity_mismatches, over all 20 columns and through the written store, one batch retried."""
+    tx = hourly(spark, sf)
+    training = freeze(FE.feature_matrix(tx, FE.graph_features(tx)).select("tx_id", *TABULAR_FEATURES, *GRAPH_FEATURES))
+    ensure_checkpoint_dir(spark)
+    store = f"{spark.sparkContext.getCheckpointDir()}/online-{uuid.uuid4().hex}"
+    arrived = training.join(tx.where("tx_type <> 'DEBIT'").select("tx_id"), "tx_id", "left_semi")
+    stale = arrived.join(tx.where("is_fraud = 1").select("tx_id"), "tx_id", "left_semi")
+    second = stale.withColumn("account_pagerank", F.col("account_pagerank") + 1)
+    upsert_batch(arrived, store, 0)
+    upsert_batch(arrived, store, 1)
+    upsert_batch(second, store, 1)  # the retry replaces what the failed attempt wrote
+    served = online_view(spark, store).drop("batch_id")
+    return S.parity_mismatches(training, served).groupBy("side").agg(F.count("*").alias("n_mismatches"))
+
+
 # --- scoring, cases, metrics -------------------------------------------------
 
 
