@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.fixtures import one_graph, ring_window, shared_device_window, transactions
 from txgraph.operators import graph as G
 from txgraph.operators.betweenness import betweenness
+from txgraph.operators import betweenness as between_module
 from txgraph.operators import communities
 from txgraph.operators.communities import colour_rounds, greedy_colours, propagate_labels
 from txgraph.operators.components import component_sizes, connected_components
@@ -387,3 +388,30 @@ def test_sketches_of_panes_unite_within_the_bound(spark):
     accounts = SK.united(panes).where("ntype = 'account'")
     assert accounts.count() == 60_000 and accounts.where("estimate <> 1").count() == 0
     assert panes.where("ntype = 'merchant'").agg(F.max(F.length("sketch"))).first()[0] < 5_000
+
+
+def test_betweenness_of_a_graph_beyond_the_dense_kernel(spark, monkeypatch):
+    """More than 512 nodes: blocks of sources along the arcs, without a join per level."""
+    rows = random_rows(6, 900, 500, 70, 60)
+    plain, graph = Plain(rows), G.build_graph(one_graph(transactions(spark, rows)))
+    assert len(plain.nodes) > G.KERNEL_NODES
+
+    def never(*_):
+        raise AssertionError("levels by joins")
+
+    monkeypatch.setattr(between_module, "_by_levels", never)
+    monkeypatch.setattr(between_module, "BLOCK_VISITS", 1)
+    monkeypatch.setattr(between_module, "BLOCK_SOURCES", 100)
+    got, want = by_id(graph, betweenness(graph), "betweenness"), plain.between(plain.nodes, 1.0)
+    assert got.keys() == {(0, n) for n in want}
+    for n, value in want.items():
+        assert got[(0, n)] == pytest.approx(value, abs=1e-12)
+
+
+def test_betweenness_by_joins(spark, randoms):
+    """Graphs of more arcs than a task gets: one join per level."""
+    plain, tx = randoms
+    graph = G.build_graph(tx.where("graph_id = 0"))
+    got = by_id(graph, betweenness(graph, kernel_nodes=0, block_arcs=0), "betweenness")
+    for n, value in plain[0].between(plain[0].nodes, 1.0).items():
+        assert got[(0, n)] == pytest.approx(value, abs=1e-12)
