@@ -415,3 +415,27 @@ def test_betweenness_by_joins(spark, randoms):
     got = by_id(graph, betweenness(graph, kernel_nodes=0, block_arcs=0), "betweenness")
     for n, value in plain[0].between(plain[0].nodes, 1.0).items():
         assert got[(0, n)] == pytest.approx(value, abs=1e-12)
+
+
+def test_labels_of_a_day_settle_in_one_task(spark):
+    """A graph of more than 200,000 arcs, as a day of a large log has: no sweeps by joins."""
+    ids = spark.range(60_000)
+    tx = ids.selectExpr(
+        "0L as graph_id",
+        "concat('T', id) as tx_id",
+        "concat('A', id * 7919 % 20011) as account_id",
+        "concat('D', id * 31 % 9973) as device_id",
+        "concat('M', id * 17 % 9967) as merchant_id",
+        "1.0D as amount",
+        "timestamp_seconds(id) as event_time",
+    )
+    graph = G.build_graph(tx)
+    assert graph.n_arcs > 200_000
+    trace = []
+    label = {r.node: r.label for r in propagate_labels(graph, trace=trace).collect()}
+    assert trace == [] and len(label) == graph.n_vertices
+    votes = {}
+    for r in graph.arcs.where("not own").select("src", "dst").toLocalIterator():
+        mine = votes.setdefault(r.src, {})
+        mine[label[r.dst]] = mine.get(label[r.dst], 0) + 1
+    assert all(v.get(label[n]) == max(v.values()) for n, v in votes.items())
