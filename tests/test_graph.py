@@ -7,7 +7,7 @@ from tests.fixtures import one_graph, ring_window, shared_device_window, transac
 from txgraph.operators import graph as G
 from txgraph.operators.betweenness import betweenness
 from txgraph.operators import betweenness as between_module
-from txgraph.operators import communities
+from txgraph.operators import communities, triangles
 from txgraph.operators.communities import colour_rounds, greedy_colours, propagate_labels
 from txgraph.operators.components import component_sizes, connected_components
 from txgraph.operators.features import graph_features
@@ -439,3 +439,19 @@ def test_labels_of_a_day_settle_in_one_task(spark):
         mine = votes.setdefault(r.src, {})
         mine[label[r.dst]] = mine.get(label[r.dst], 0) + 1
     assert all(v.get(label[n]) == max(v.values()) for n, v in votes.items())
+
+
+def test_wedges_of_a_dense_middle_are_not_walked_from_every_leaf(spark, monkeypatch):
+    """Leaves that hang on a device and a merchant each: one pair of neighbours a leaf, not one per device-merchant edge."""
+    rows = [(0, f"A{i:05d}", f"D{i % 30:02d}", f"M{i // 30 % 30:02d}") for i in range(9000)]
+    tx = spark.createDataFrame(rows, "graph_id long, a string, d string, m string")
+    pairs = tx.selectExpr("graph_id", "explode(array(struct(a as a, d as b), struct(a as a, m as b), struct(d as a, m as b))) as e")
+    pairs = pairs.select("graph_id", "e.a", "e.b")
+    wedges, walked = triangles._wedges, []
+    monkeypatch.setattr(triangles, "_wedges", lambda oriented: walked.append(wedges(oriented)) or walked[-1])
+    found = {r.node: r.triangles for r in clustering(pairs).collect()}
+    # Leaf by leaf 9,000, of the middle 30 * 29 / 2 for each device; a path over the middle makes 270,000.
+    assert walked[0].count() == 9000 + 30 * 435
+    assert found["A00000"] == 1 and found["D00"] == 300 == found["M00"]
+    busy = {r.node: r.triangles for r in clustering(pairs, heavy_min_rows=5).collect()}
+    assert busy == found
