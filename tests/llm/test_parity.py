@@ -130,6 +130,35 @@ def test_first_shared_key_of_linked_sets_is_near_the_front():
         assert len(shared) and (7 * np.maximum(ia[at], ib[to])).min() <= len(a) + len(b)
 
 
+def test_sets_of_a_run_equal_sets_one_by_one():
+    """Keys, places and parities of many sets at once, those of one or two shingles among them."""
+    rng = np.random.default_rng(12)
+    sizes = np.array([1, 2, 3, 3, 4, 5, 15, 16, 17, 21, 63, 64, 65, 85, 86, 255, 256, 257, 300, 1024, 1100] * 3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in sizes]
+    own, upto = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    often = rng.integers(0, 3, len(own)) * rng.integers(0, 30, len(own))
+    key, place, n = parity.keys_of_many(own, upto, often)
+    want = [parity.keys_of(x, often[a : a + len(x)]) for x, a in zip(sets, upto[:-1], strict=True)]
+    assert n.tolist() == [len(k) for k, _ in want]
+    assert (key == np.concatenate([k for k, _ in want])).all()
+    assert (place == np.concatenate([p for _, p in want])).all()
+    assert parity.parities_of(own, upto) == [parity.parities(x).tobytes() for x in sets]
+
+
+def test_pairs_of_one_component_are_not_compared_again(spark):
+    """Two families of copies in one group: a centre meets members of the other family only."""
+    rng = np.random.default_rng(2)
+    sets = {i: np.unique(rng.integers(0, 1 << 63, 40).astype(np.uint64)) for i in (0, 50)}
+    told = [(i, 40, parity.parities(sets[i - i % 50]).tobytes(), i) for i in range(100)]
+    told = spark.createDataFrame(told, "uid long, n long, bits binary, first long")
+    labels = spark.createDataFrame([(i, i - i % 50) for i in range(100)], "node long, component long")
+    members = np.arange(1, 100).astype("<i8").tobytes()
+    open_ = spark.createDataFrame([(1, 0, members, [60, 61])], "gid long, chunk long, members binary, centres array<long>")
+    assert parity._around(open_, told, labels).count() == 0
+    apart = labels.where("node <> 70")
+    assert sorted(map(tuple, parity._around(open_, told, apart).collect())) == [(60, 70), (61, 70)]
+
+
 @pytest.mark.parametrize("parts", [1, 40])
 def test_documents_that_share_a_passage_only_are_no_group(spark, make_docs, parts):
     """120 words in common and 60 of their own each: no link, and no pairs either, however spread."""

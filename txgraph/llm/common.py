@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from txgraph.session import MAX_BROADCAST_ROWS, ensure_checkpoint_dir, freeze
 
 __all__ = [
-    "chunks", "freeze", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small",
+    "TEXTS_PER_BATCH", "chunks", "freeze", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small",
     "discard", "written",
 ]
 
+# Rows of whole texts that go to a Python worker at once; bounds the memory on both sides.
+TEXTS_PER_BATCH = "2000"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

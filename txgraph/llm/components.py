@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import discard, freeze, scratch_uri, written
+from txgraph.llm.common import discard, freeze, scratch_uri, small, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,9 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round every node hooks onto its smallest neighbour, pointers are doubled, and the
     edges are rewritten to the nodes reached; what lies within one node goes. Rounds grow with
-    the logarithm of the longest chain. Nothing is collected. The edges of a round are a written
-    table and no checkpoint, since a checkpoint carries the size estimate of its plan along, and
-    these multiply from round to round.
+    the logarithm of the longest chain. Nothing is collected; hooks of few nodes are broadcast. The
+    edges of a round are a written table and no checkpoint, since a checkpoint carries the size
+    estimate of its plan along, and these multiply from round to round.
     """
     folder, number = scratch_uri(edges.sparkSession, "components"), 0
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -27,20 +27,23 @@ def components(edges: DataFrame) -> DataFrame:
         hooks = hooks.select("node", F.least("node", "m").alias("top"))
         number += 1
         hooks = written(hooks, f"{folder}/{number}")
+        nodes = hooks.count()
         for _ in range(2):
             above = hooks.select(F.col("node").alias("top"), F.col("top").alias("next"))
-            hooks = hooks.join(above, "top").select("node", F.col("next").alias("top"))
-        if number == 1:
+            hooks = hooks.join(small(above, nodes), "top").select("node", F.col("next").alias("top"))
+        number += 1
+        hooks = written(hooks, f"{folder}/{number}")
+        if number == 2:
             labels = hooks.select("node", F.col("top").alias("component"))
         else:
             above = hooks.select(F.col("node").alias("component"), "top")
-            labels = labels.join(above, "component", "left").select(
+            labels = labels.join(small(above, nodes), "component", "left").select(
                 "node", F.coalesce("top", "component").alias("component")
             )
         to = hooks.select(F.col("node").alias("a"), F.col("top").alias("x"))
-        moved = rest.join(to, "a").select("b", "x")
+        moved = rest.join(small(to, nodes), "a").select("b", "x")
         to = hooks.select(F.col("node").alias("b"), F.col("top").alias("y"))
-        moved = moved.join(to, "b").where("x <> y")
+        moved = moved.join(small(to, nodes), "b").where("x <> y")
         pairs = moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         number += 1
         rest = written(pairs.distinct(), f"{folder}/{number}")

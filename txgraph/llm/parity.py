@@ -17,7 +17,8 @@ unlike documents that have nothing but a passage in common are no group, however
 no pair of them is made. The other groups are resolved by stars: the smallest
 member is compared with the others. Members outside its component are then compared with a few
 inside it, other ones each turn, as long as that brings many of them in; those left take turns as
-centres, compared with all others inside a task by their parities, eight times as many each round. So a group of near copies costs about as
+centres, compared with all others inside a task by their parities, CENTRES of them first and CENTRES times
+as many each round; pairs of one component are done. So a group of near copies costs about as
 many comparisons as it has members, and yet every link between different sets is either found
 or implied by components. Compared are the Hamming distance of one-bit parities, a lower bound
 of the difference, then the sets themselves.
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import chunks, discard, freeze, numbered, partitions_for, scratch_uri, small, written
+from txgraph.llm.common import TEXTS_PER_BATCH, chunks, discard, freeze, numbered, partitions_for, scratch_uri, small, written
 from txgraph.llm.components import components
 from txgraph.llm.words import mix, shingles, word_hashes
 from txgraph.session import session_conf
@@ -50,17 +51,31 @@ LEAST_LEVEL = 2  # log2 of the count from which a shingle may be frequent
 FLUSH = 1_000_000
 CHUNK = 4096
 LEAST_PARTS = 64
+RUN_BYTES = 512 << 10  # of texts that are hashed together
+FILTER_BITS = 22
 HELPED_TURNS = 8  # at most; what is left then is compared in full
-EMPTY = np.uint64(0)
+CENTRES = 64  # of a group in the first round that compares in full
 
 
-def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, sorted distinct shingles) of each text of a batch."""
-    for first, end, data, offsets in chunks(batch.column(column)):
+def shingle_runs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, sorted distinct shingles of each text in turn, where those of each begin and the
+    last end) of runs of texts of a batch."""
+    for first, end, data, offsets in chunks(batch.column(column), RUN_BYTES):
         words, before = word_hashes(data, offsets)
         hashes, upto = shingles(words, before, WORDS)
         for row in range(end - first):
-            yield first + row, np.unique(hashes[upto[row] : upto[row + 1]])
+            hashes[upto[row] : upto[row + 1]].sort()
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        new[upto[:-1][upto[:-1] < len(hashes)]] = True
+        yield first, hashes[new], np.concatenate([[0], np.cumsum(new)])[upto]
+
+
+def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, sorted distinct shingles) of each text of a batch."""
+    for first, own, upto in shingle_runs(batch, column):
+        for row in range(len(upto) - 1):
+            yield first + row, own[upto[row] : upto[row + 1]]
 
 
 def parities(own: np.ndarray) -> np.ndarray:
@@ -70,6 +85,17 @@ def parities(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8))
 
 
+def parities_of(own: np.ndarray, upto: np.ndarray) -> list[bytes]:
+    """The packed ``parities`` of each of several sets; none for an empty set."""
+    sizes = np.diff(upto)
+    m = np.where(sizes > 0, 1 << np.maximum(6, np.frexp(np.maximum(1, 2 * sizes - 1).astype(float))[1]).astype(np.int64), 0)
+    base = np.concatenate([[0], np.cumsum(m)])
+    at = (own >> np.uint64(20)).astype(np.int64) & (np.repeat(m, sizes) - 1)
+    bits = np.bincount(np.repeat(base[:-1], sizes) + at, minlength=base[-1]) & 1
+    packed = np.packbits(bits.astype(np.uint8)).tobytes()
+    return [packed[a:b] for a, b in zip((base[:-1] // 8).tolist(), (base[1:] // 8).tolist(), strict=True)]
+
+
 def hamming(a: np.ndarray, b: np.ndarray) -> int:
     """Hamming distance of two parity sketches; the longer one is folded to the shorter."""
     while len(a) > len(b):
@@ -95,12 +121,45 @@ def _looked_up(own: np.ndarray, often: np.ndarray, band: int, most: int) -> np.n
     rank = np.minimum.reduceat(often[order], starts)
     used = part[starts]
     keys = mix(sketch ^ (used * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1))
+    keys = keys[np.lexsort((keys, rank))]
     if len(keys) <= most:  # empty parts come last
         rest = np.setdiff1d(np.arange(parts, dtype=np.uint64), used)
         empty = mix((rest * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1))
         empty = np.sort(empty)[: most + 1 - len(keys)]
         return np.concatenate([keys, empty])
-    return keys[np.lexsort((keys, rank))[: most + 1]]
+    return keys[: most + 1]
+
+
+def _looked_up_many(
+    own: np.ndarray, upto: np.ndarray, often: np.ndarray, rows: np.ndarray, band: int, most: np.ndarray
+) -> np.ndarray:
+    """``_looked_up`` of some of several sets, one after another."""
+    lengths = upto[rows + 1] - upto[rows]
+    before = np.concatenate([[0], np.cumsum(lengths)])
+    flat = np.arange(before[-1]) + np.repeat(upto[rows] - before[:-1], lengths)
+    taken, rank = own[flat], often[flat]
+    parts = max(LEAST_PARTS, 4 ** (band + 2))
+    part = (taken & np.uint64(parts - 1)).astype(np.int64)
+    part += np.repeat(np.arange(len(rows)) * parts, lengths)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    sketch = np.bitwise_xor.reduceat(mix(taken[order]), starts)
+    rank = np.minimum.reduceat(rank[order], starts)
+    part = part[starts]
+    used = (part % parts).astype(np.uint64)
+    keys = mix(sketch ^ (used * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1))
+    # Rank and key in one number: what falls below its last bit is a chance of 2^-58.
+    lot = (rank.astype(np.uint64) << np.uint64(58)) | (keys >> np.uint64(6))
+    bounds = np.searchsorted(part, np.arange(len(rows) + 1) * parts).tolist()
+    out = []
+    for i, (a, b, n) in enumerate(zip(bounds, bounds[1:], most.tolist(), strict=False)):
+        if b - a > n:
+            out.append(keys[a:b][np.argsort(lot[a:b])[: n + 1]])
+        else:
+            at = slice(upto[rows[i]], upto[rows[i] + 1])
+            out.append(_looked_up(own[at], often[at], band, n))
+    return np.concatenate(out)
 
 
 def keys_of(own: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +177,29 @@ def keys_of(own: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(keys), np.concatenate([np.arange(len(k)) for k in keys])
 
 
+def keys_of_many(own: np.ndarray, upto: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``keys_of`` of several sets that are not empty: keys, places, and the number of keys of each."""
+    s = np.diff(upto)
+    band = (np.frexp(s.astype(float))[1].astype(np.int64) - 1) // 2
+    low = 4**band
+    below = (band > 0) & (-(-3 * s // 4) < low)
+    keys, most, who = [], [], []
+    for wanted, at, limit in ((np.ones(len(s), bool), band, s // 3), (below, band - 1, (s + low - 1) // 7)):
+        for level in np.unique(at[wanted]).tolist():
+            rows = np.flatnonzero(wanted & (at == level))
+            keys.append(_looked_up_many(own, upto, often, rows, level, limit[rows]))
+            most.append(limit[rows] + 1)
+            who.append(rows)
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n, rows = np.concatenate(most), np.concatenate(who)
+    starts = np.cumsum(n) - n
+    order = np.argsort(rows, kind="stable")  # keys of one set together
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n[order]) - n[order], n[order])
+    key = np.concatenate(keys)[place + np.repeat(starts[order], n[order])]
+    return key, place, np.bincount(rows, weights=n, minlength=len(s)).astype(np.int64)
+
+
 def with_partner(s: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Which members of a group, given by size and place, have one that they may be linked with.
 
@@ -165,7 +247,11 @@ def _counted_bits(tasks: int) -> int:
 
 
 def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
-    """(uid, n, digest, bits) of every document, and the frequent shingles with their level."""
+    """(uid, n, digest, bits) of every document, and the frequent shingles with their level.
+
+    Both come out of one pass: the counts of a bucket meet in one task and leave it as levels, the
+    rows of documents pass through.
+    """
     spark = given.sparkSession
     bits = _counted_bits(given.rdd.getNumPartitions())
     low = COUNTED_BITS - bits
@@ -194,13 +280,14 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
         for batch in batches:
             uids = batch.column(0).to_pylist()
             rows = []
-            for row, own in shingle_sets(batch, 1):
-                digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                packed = parities(own).tobytes() if len(own) else b""
-                rows.append((uids[row], len(own), digest, packed, None, None, None))
-                if len(own):
-                    held.append(own)
-                size += len(own)
+            for first, all_, upto in shingle_runs(batch, 1):
+                for row, packed in enumerate(parities_of(all_, upto)):
+                    own = all_[upto[row] : upto[row + 1]]
+                    digest = hashlib.blake2b(own, digest_size=16).digest()
+                    rows.append((uids[first + row], len(own), digest, packed, None, None, None))
+                if len(all_):
+                    held.append(all_)
+                size += len(all_)
                 if size >= 2 * FLUSH:
                     yield counted()
                     held, size = [], 0
@@ -211,19 +298,20 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
         if held:
             yield counted()
 
-    both = written(
-        given.mapInArrow(run, "uid long, n long, digest binary, bits binary, bucket long, low binary, times binary"),
-        f"{folder}/profiles",
+    both = given.mapInArrow(
+        run, "uid long, n long, digest binary, bits binary, bucket long, low binary, times binary"
     )
-    told = both.where("uid IS NOT NULL").select("uid", "n", "digest", "bits").dropDuplicates(["uid"])
-    dealt = both.where("bucket IS NOT NULL").select("bucket", "low", "times").repartition(
-        partitions_for(spark, given.rdd.getNumPartitions(), 1), "bucket"
-    )
-    levels = freeze(
+    key = F.coalesce("bucket", F.xxhash64("uid"))
+    dealt = both.repartition(partitions_for(spark, given.rdd.getNumPartitions(), 1), key)
+    both = written(
         dealt.sortWithinPartitions("bucket").mapInArrow(
-            lambda batches: _levels(batches, low), "level int, n long, names binary"
-        )
+            lambda batches: _levels(batches, low),
+            "uid long, n long, digest binary, bits binary, level int, names binary",
+        ),
+        f"{folder}/profiles",
     )
+    told = both.where("level IS NULL").select("uid", "n", "digest", "bits").dropDuplicates(["uid"])
+    levels = both.where("level IS NOT NULL").select("level", "n", "names")
     # From the most frequent level down as many levels as have FREQUENT shingles in all.
     chosen, total = [], 0
     for level, n in levels.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():
@@ -240,11 +328,15 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
 
 
 def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBatch]:
-    """(level, number, names) of the shingles of each bucket that occur often, by log2 of the count."""
+    """(level, n, names) of the shingles of each bucket that occur often, by log2 of the count.
+
+    Rows of documents, which come first, stay as they are.
+    """
+    out = ["uid", "n", "digest", "bits", "level", "names"]
     names: list[np.ndarray] = []
     times: list[np.ndarray] = []
 
-    def close(bucket: int) -> Iterator[pa.RecordBatch]:
+    def close(bucket: int) -> pa.RecordBatch:
         name, each = np.concatenate(names), np.concatenate(times)
         order = np.argsort(name, kind="stable")
         name, each = name[order], each[order]
@@ -253,20 +345,29 @@ def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBa
         name = name[starts].astype("<u8") + np.uint64(bucket << low)
         found = [int(x) for x in np.unique(level) if x >= LEAST_LEVEL]
         parts = [name[level == x] for x in found]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
-                pa.array(found, pa.int32()),
+                pa.nulls(len(found), pa.int64()),
                 pa.array([len(x) for x in parts], pa.int64()),
+                *[pa.nulls(len(found), pa.binary())] * 2,
+                pa.array(found, pa.int32()),
                 pa.array([x.tobytes() for x in parts], pa.binary()),
             ],
-            names=["level", "n", "names"],
+            names=out,
         )
 
     at = None
     for batch in batches:
-        for bucket, rest, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        documents = batch.filter(batch.column(4).is_null())
+        if documents.num_rows:
+            n = documents.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*documents.columns[:4], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=out
+            )
+        counted = batch.filter(batch.column(4).is_valid())
+        for bucket, rest, told in zip(*(c.to_pylist() for c in counted.columns[4:]), strict=True):
             if bucket != at and at is not None:
-                yield from close(at)
+                yield close(at)
                 names, times = [], []
             at = bucket
             name = np.frombuffer(rest, "<u4")
@@ -276,16 +377,27 @@ def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBa
             names.append(name)
             times.append(each)
     if at is not None:
-        yield from close(at)
-
-
-def _often(own: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    names, levels = frequent
-    if not len(names):
-        return np.zeros(len(own), dtype=np.int64)
-    own = own >> np.uint64(64 - COUNTED_BITS)
-    at = np.minimum(np.searchsorted(names, own), len(names) - 1)
-    return np.where(names[at] == own, levels[at], 0)
+        yield close(at)
+
+
+class Frequent:
+    """The level of each shingle, 0 if it is not among the frequent ones."""
+
+    def __init__(self, frequent: tuple[np.ndarray, np.ndarray]):
+        self.names, self.levels = frequent
+        self.last = np.uint64((1 << FILTER_BITS) - 1)
+        self.maybe = np.zeros(1 << FILTER_BITS, dtype=bool)  # by the last bits, so that few are looked up
+        self.maybe[self.names & self.last] = True
+
+    def __call__(self, own: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(own), dtype=np.int64)
+        if not len(self.names):
+            return out
+        own = own >> np.uint64(64 - COUNTED_BITS)
+        some = np.flatnonzero(self.maybe[own & self.last])
+        at = np.minimum(np.searchsorted(self.names, own[some]), len(self.names) - 1)
+        out[some] = np.where(self.names[at] == own[some], self.levels[at], 0)
+        return out
 
 
 def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
@@ -302,14 +414,15 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
         places: list[np.ndarray] = []
         uids: list[int] = []
         sizes: list[int] = []
-        size = 0
+        owned: list[np.ndarray] = []
+        size, often = 0, Frequent(shared.value)
 
         def deal() -> pa.RecordBatch:
             key = np.concatenate(keys)
             place = np.concatenate(places)
-            document = np.repeat(np.arange(len(uids)), [len(k) for k in keys])
+            document = np.repeat(np.arange(len(uids)), np.concatenate(owned))
             uid, s = np.array(uids, dtype=np.int64), np.array(sizes, dtype="<i8")
-            bucket = ((key >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            bucket = ((key >> np.uint64(40)) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
             rows = []
@@ -331,25 +444,33 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for row, own in shingle_sets(batch, 1):
-                if not len(own):
-                    continue
-                digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                if len(seen) > 200_000:
-                    seen.clear()
-                if digest in seen:  # any copy stands for its class
+            for first, own, upto in shingle_runs(batch, 1):
+                new = []
+                for row in np.flatnonzero(np.diff(upto)).tolist():
+                    digest = hashlib.blake2b(own[upto[row] : upto[row + 1]], digest_size=16).digest()
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    if digest in seen:  # any copy stands for its class
+                        continue
+                    seen[digest] = 1
+                    new.append(row)
+                if not new:
                     continue
-                seen[digest] = 1
-                key, place = keys_of(own, _often(own, shared.value))
+                n = np.diff(upto)[new]
+                if len(new) < len(upto) - 1:
+                    own = np.concatenate([own[upto[row] : upto[row + 1]] for row in new])
+                    upto = np.concatenate([[0], np.cumsum(n)])
+                key, place, times = keys_of_many(own, upto, often(own))
                 keys.append(key)
                 # A lower place than the true one only keeps a document in its group.
                 places.append(np.minimum(place, 0xFFFF).astype("<u2"))
-                uids.append(names[row])
-                sizes.append(len(own))
+                uids += [names[first + row] for row in new]
+                sizes += n.tolist()
+                owned.append(times)
                 size += len(key)
                 if size >= FLUSH:
                     yield deal()
-                    keys, places, uids, sizes, size = [], [], [], [], 0
+                    keys, places, uids, sizes, owned, size = [], [], [], [], [], 0
         if size:
             yield deal()
 
@@ -382,7 +503,7 @@ def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
         np.concatenate([np.repeat(np.frombuffer(r[c], "<i8"), n) for r, n in zip(held, times, strict=True)])
         for c in ("uid", "size")
     )
-    order = np.lexsort((uid, key))
+    order = np.argsort(key)
     key, uid, size, place = key[order], uid[order], size[order], place[order].astype(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(starts, len(key)))
@@ -404,31 +525,43 @@ def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
     two = starts[sizes == 2]
     s, t = size[two], size[two + 1]
     near = (4 * s >= 3 * t) & (4 * t >= 3 * s) & (s + t >= 7 * np.maximum(place[two], place[two + 1]))
-    two = two[near]
-    if len(two):
-        for pair in np.unique(np.column_stack([uid[two], uid[two + 1]]), axis=0):
-            if pair[0] != pair[1]:
-                add(pair)
+    two = two[near & (uid[two] != uid[two + 1])]
+    kinds = [pa.int64()] * 4 + [pa.binary()]
+    names = ["gid", "hub", "cuts", "chunk", "members"]
+    a, b = np.minimum(uid[two], uid[two + 1]), np.maximum(uid[two], uid[two + 1])
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    a, b = a[new], b[new]
+    for at in range(0, len(a), 10_000):  # pairs have one chunk, and no round asks for their group
+        hub, other = a[at : at + 10_000], b[at : at + 10_000]
+        gid = mix(mix(hub.view(np.uint64)) ^ other.view(np.uint64)).view(np.int64)
+        one = [np.full(len(hub), x, dtype=np.int64) for x in (1, 0)]
+        members = pa.array([x.tobytes() for x in other], pa.binary())
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (gid, hub, *one)), members], names=names)
+    # Where all members fit each other, all stay; near copies have many such groups of the same members.
+    low, high = np.minimum.reduceat(size, starts), np.maximum.reduceat(size, starts)
+    fit = (sizes > 2) & (4 * low >= 3 * high) & (7 * np.maximum.reduceat(place, starts) <= 2 * low)
+    alike = np.add.reduceat(mix(uid.astype(np.uint64)), starts)
+    kept = (sizes > 2) & ~fit
+    kept[np.flatnonzero(fit)[np.unique(alike[fit], return_index=True)[1]]] = True
     seen: set[bytes] = set()
-    for start, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+    for start, n, whole in zip(starts[kept].tolist(), sizes[kept].tolist(), fit[kept].tolist(), strict=True):
         own = slice(start, start + n)
-        members = np.unique(uid[own][with_partner(size[own], place[own])])
+        members = np.unique(uid[own] if whole else uid[own][with_partner(size[own], place[own])])
         if len(members) < 2:
             continue
         name = hashlib.blake2b(members.tobytes(), digest_size=16).digest()
         if name not in seen:
             seen.add(name)
             add(members)
-    kinds = [pa.int64()] * 4 + [pa.binary()]
     for at in range(0, len(rows), 10_000):
         columns = zip(*rows[at : at + 10_000], strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["gid", "hub", "cuts", "chunk", "members"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _stars(found: DataFrame, tasks: int) -> DataFrame:
+def _stars(found: DataFrame) -> DataFrame:
     """(hub, x): the hub of each group with each other member, once per hub and chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,7 +582,7 @@ def _stars(found: DataFrame, tasks: int) -> DataFrame:
                 held.append(np.frombuffer(members, "<i8"))
         yield from pairs()
 
-    dealt = found.select("hub", "chunk", "members").repartition(tasks, "hub", "chunk")
+    dealt = found.select("hub", "chunk", "members").repartition("hub", "chunk")
     return dealt.sortWithinPartitions("hub", "chunk").mapInArrow(run, "hub long, x long").distinct()
 
 
@@ -463,7 +596,8 @@ def _classes(pairs: DataFrame, told: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
     """Pairs of classes whose sets are similar: bounds first, then the sets."""
-    own = told.where("uid = first")
+    asked = freeze(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct())
+    own = told.where("uid = first").join(small(asked, asked.count()), "uid", "left_semi")
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -560,25 +694,27 @@ def _helped(open_: DataFrame, stray: DataFrame, turn: int, most: int = 2) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for members, strays in zip(*batch.columns, strict=True):
                 own = np.frombuffer(members.as_py(), "<i8")
                 mine = np.intersect1d(strays.values.to_numpy(), own)
                 rest = np.setdiff1d(own, mine, assume_unique=True)
                 lot = mix(rest.astype(np.uint64) + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15))
                 for helper in rest[np.argsort(lot, kind="stable")[:most]]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(mine, helper)), pa.array(np.maximum(mine, helper))], names=["a", "b"]
-                    )
+                    a.append(np.minimum(mine, helper))
+                    b.append(np.maximum(mine, helper))
+            columns = [pa.array(np.concatenate(x)) for x in (a, b)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     joined = open_.join(lists, ["hub", "cuts", "chunk"]).select("members", "strays")
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
-def _around(open_: DataFrame, told: DataFrame, tasks: int) -> DataFrame:
+def _around(open_: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): classes of each centre of a group and of those members that the bounds leave.
 
     The parities of a chunk's members, of which there are CHUNK at most, meet those of the
-    group's centres in one task; only pairs within the bounds leave it.
+    group's centres in one task; only pairs within the bounds leave it, and none of one component.
     """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -601,6 +737,7 @@ def _around(open_: DataFrame, told: DataFrame, tasks: int) -> DataFrame:
         members = {row[1]: row for row in held if not row[0]}  # once per class
         first = np.array(list(members), dtype=np.int64)
         n = np.array([row[2] for row in members.values()], dtype=np.int64)
+        within = np.array([row[4] for row in members.values()], dtype=np.int64)
         by_length: dict[int, list[int]] = {}
         for i, row in enumerate(members.values()):
             by_length.setdefault(len(row[3]), []).append(i)
@@ -608,10 +745,10 @@ def _around(open_: DataFrame, told: DataFrame, tasks: int) -> DataFrame:
             k: (np.array(at), np.frombuffer(b"".join(members[int(first[i])][3] for i in at), np.uint8).reshape(-1, k))
             for k, at in by_length.items()
         }
-        for name, s, bits in {row[1]: row[1:] for row in held if row[0]}.values():
+        for name, s, bits, own in {row[1]: row[1:] for row in held if row[0]}.values():
             mine = np.frombuffer(bits, np.uint8)
             for k, (at, block) in blocks.items():
-                some = np.flatnonzero((4 * np.minimum(n[at], s) >= 3 * np.maximum(n[at], s)) & (first[at] != name))
+                some = np.flatnonzero((4 * np.minimum(n[at], s) >= 3 * np.maximum(n[at], s)) & (within[at] != own))
                 if not len(some):
                     continue
                 left, right = mine, block[some]
@@ -641,18 +778,21 @@ def _around(open_: DataFrame, told: DataFrame, tasks: int) -> DataFrame:
     rows = open_.select("gid", "chunk", "members", "centres").mapInArrow(
         listed, "gid long, chunk long, centre boolean, uid long"
     )
-    sketched = rows.join(told.select("uid", "first", "n", "bits"), "uid").where("n > 0")
-    dealt = sketched.select("gid", "chunk", "centre", "first", "n", "bits").repartition(tasks, "gid", "chunk")
+    names = labels.select(F.col("node").alias("first"), "component")
+    known = told.where("n > 0").join(small(names, names.count()), "first", "left")
+    known = known.select("uid", "first", "n", "bits", F.coalesce("component", "first").alias("component"))
+    sketched = rows.join(known, "uid").select("gid", "chunk", "centre", "first", "n", "bits", "component")
+    dealt = sketched.repartition("gid", "chunk")
     return dealt.sortWithinPartitions("gid", "chunk").mapInArrow(run, "a long, b long").distinct()
 
 
 def _resolve(
-    found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFrame, given: DataFrame, tasks: int
+    found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFrame, given: DataFrame
 ) -> DataFrame:
     """Labels once every group is within one component or fully compared."""
     stray = freeze(_strays(stars, told, labels))
     sizes = F.length("members") > 8  # a hub with one other member is compared already
-    whole = found.where(sizes | (F.col("cuts") > 1)).dropDuplicates(["gid", "chunk"])
+    whole = freeze(found.where(sizes | (F.col("cuts") > 1)).dropDuplicates(["gid", "chunk"]))
     # In a family of copies most strays are near one of the members that the hub is near to.
     for turn in range(HELPED_TURNS):
         left = stray.count()
@@ -667,7 +807,7 @@ def _resolve(
             break
     open_ = whole.join(stray.select("hub").distinct(), "hub", "left_semi")
     open_ = open_.withColumn("upto", F.lit(-(2**63)).cast("long"))
-    most = 1
+    most = CENTRES
     while not stray.isEmpty():
         centres = freeze(_centres(open_, stray, most))
         if centres.isEmpty():
@@ -675,11 +815,11 @@ def _resolve(
         open_ = freeze(
             open_.drop("upto", "centres").join(centres, "gid").withColumn("upto", F.element_at("centres", -1))
         )
-        links = _verified(freeze(_around(open_, told, tasks)), given)
+        links = _verified(freeze(_around(open_, told, labels)), given)
         edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
         labels = components(edges)
         stray = freeze(_strays(stars, told, labels))
-        most *= 8
+        most *= CENTRES
     return labels
 
 
@@ -700,7 +840,8 @@ def clusters(docs: DataFrame) -> DataFrame:
     """
     given, numbers = numbered(docs)
     folder = scratch_uri(docs.sparkSession, "parity")
-    told, frequent = profiles(given, folder)
+    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
+        told, frequent = profiles(given, folder)
     first = freeze(told.groupBy("digest").agg(F.min("uid").alias("first")))
     first = told.join(first, "digest").withColumn(
         "first", F.when(F.col("n") == 0, F.col("uid")).otherwise(F.col("first"))
@@ -708,10 +849,11 @@ def clusters(docs: DataFrame) -> DataFrame:
     told = freeze(first.select("uid", "n", "bits", "first"))
     discard(folder)
     buckets = partitions_for(docs.sparkSession, given.rdd.getNumPartitions(), 1)
-    found = freeze(groups(given, frequent, buckets))
-    stars = freeze(_stars(found, buckets))
+    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
+        found = freeze(groups(given, frequent, buckets))
+    stars = freeze(_stars(found))
     links = _links(_classes(stars.select(F.col("hub").alias("a"), F.col("x").alias("b")), told), told, given)
-    labels = _resolve(found, stars, components(links), told, given, buckets)
+    labels = _resolve(found, stars, components(links), told, given)
     names = labels.select(F.col("node").alias("first"), "component")
     rows = told.join(names, "first", "left").select(
         "uid", F.col("n").alias("n_shingles"), F.coalesce("component", "first").alias("component")

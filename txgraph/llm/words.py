@@ -13,8 +13,8 @@ _PLACES = 4096
 _R = np.random.default_rng(20240607).integers(0, 1 << 63, _PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_CODE = np.arange(1, 257, dtype=np.uint64)  # of a byte, A-Z lowered
+_CODE[65:91] += np.uint64(32)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,14 +38,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(begins)
     if not len(starts):
         return np.zeros(0, dtype=np.uint64), none
-    kept = _LOWER[data[inside]].astype(np.uint64) + np.uint64(1)
+    kept = _CODE[data[inside]]
     first = np.cumsum(inside)[starts] - 1  # where each word starts among the kept bytes
     lengths = np.diff(np.append(first, len(kept)))
     place = np.arange(len(kept)) - np.repeat(first, lengths)
-    factor = _R[place & (_PLACES - 1)]
     if lengths.max() > _PLACES:
-        factor = factor * (2 * (place >> 12) + 1).astype(np.uint64)
-    sums = np.add.reduceat(kept * factor, first)
+        kept *= _R[place & (_PLACES - 1)] * (2 * (place >> 12) + 1).astype(np.uint64)
+    else:
+        kept *= _R[place]
+    sums = np.add.reduceat(kept, first)
     return mix(sums + lengths.astype(np.uint64)), np.searchsorted(starts, offsets).astype(np.int64)
 
 
