@@ -105,6 +105,26 @@ def test_audit_asks_for_links_and_nearest_vectors_of_other_shards():
     assert [set(x) for x in graph.compare(foreign)] == [set(np.flatnonzero(v @ q >= 0.98).tolist()) for q in foreign]
 
 
+def test_a_beam_that_fails_is_not_asked_for_the_whole_sample():
+    """The audit ends at the same beam and recall, with fewer lookups."""
+    rng = np.random.default_rng(6)
+    s = hnsw.Settings(links=4, build_beam=8, beam=1, audit_rows=400, most_beam=64)
+    graph = hnsw.Graph(hnsw.unit(rng.normal(size=(600, 32))), s).build()
+    asked = []
+
+    def counted(q, walk=graph._from_top):
+        asked.append(graph.beam)
+        return walk(q)
+
+    graph._from_top = counted
+    recall = graph.audit()
+    assert graph.beam > 1 and asked.count(1) < 400 and asked.count(graph.beam) == 400
+    rows = np.unique(np.linspace(0, 599, 400).astype(int))
+    near = (graph.v @ graph.v.T - 4 * np.eye(600)).max(axis=1)
+    met = [max(sim for sim, x in graph._from_top(graph.v[r]) if x != r) >= near[r] - 1e-12 for r in rows]
+    assert recall == np.mean(met)
+
+
 def test_poor_graphs_are_replaced_by_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 16))

@@ -155,7 +155,8 @@ class Graph:
 
         The sample is taken from ``queries`` of another shard, or else from the graph's own
         vectors, which are asked for the others. The recall is the lesser of two: of links, and
-        of the nearest vector for samples without links.
+        of the nearest vector for samples without links. A beam that is to be doubled is told by the
+        misses so far; the rest of the sample is not asked then.
         """
         own = queries is None
         asked = self.v if own else queries
@@ -165,8 +166,11 @@ class Graph:
             sims[np.arange(len(rows)), rows] = -2.0
         links = [set(np.flatnonzero(x >= self.s.threshold).tolist()) for x in sims]
         nearest = sims.max(axis=1)
+        all_links = sum(len(x) for x in links)
+        all_alone = sum(not known and best > -2.0 for known, best in zip(links, nearest, strict=True))
         while True:
             hits = wanted = close = alone = 0
+            last = self.beam >= min(len(self.v), self.s.most_beam)
             for row, known, best in zip(rows, links, nearest, strict=True):
                 if known:
                     hits += len(known & set(self.search(asked[row])))
@@ -175,8 +179,13 @@ class Graph:
                     walked = self._from_top(asked[row])
                     close += best <= max((sim for sim, x in walked if not own or x != row), default=-2.0) + 1e-12
                     alone += 1
+                lost = max(
+                    (wanted - hits) / all_links if all_links else 0.0, (alone - close) / all_alone if all_alone else 0.0
+                )
+                if not last and 1.0 - lost < self.s.audit_recall - 1e-9:
+                    break
             recall = min(hits / wanted if wanted else 1.0, close / alone if alone else 1.0)
-            if recall >= self.s.audit_recall or self.beam >= min(len(self.v), self.s.most_beam):
+            if last or recall >= self.s.audit_recall:
                 return recall
             self.beam *= 2
 
