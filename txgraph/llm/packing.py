@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txgraph.llm import parity
-from txgraph.llm.common import chunks, freeze, partitions_for
+from txgraph.llm.common import TEXTS_PER_BATCH, chunks, freeze, partitions_for
+from txgraph.session import session_conf
 
 OUT = "doc_id long, piece int, n_tokens long, bin_id string, start long"
 
@@ -38,7 +39,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = np.zeros(batch.num_rows, dtype=np.int64)
-            for first, end, data, offsets in chunks(batch.column(3)):
+            for first, end, data, offsets in chunks(batch.column(3), 512 << 10):
                 inside = data > 0x20
                 begins = inside.copy()
                 begins[1:] &= ~inside[:-1]
@@ -120,7 +121,8 @@ def pack(
         same.alias("cluster"),
         F.col("text").cast("string").alias("text"),
     )
-    counted = freeze(word_counts(given).withColumn("row", F.monotonically_increasing_id()))
+    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
+        counted = freeze(word_counts(given).withColumn("row", F.monotonically_increasing_id()))
     if clusters is not None:  # by null-safe id and hash of the text, which the column holds so far
         told = clusters.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "component")
         joined = counted.join(told, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cluster") == F.col("h")))
