@@ -130,3 +130,20 @@ def test_poor_graphs_are_replaced_by_brute_force(spark):
     centres = rng.normal(size=(40, 16))
     rows = [(i, (centres[i % 40] + rng.normal(size=16) * 0.07).tolist(), 1, "x") for i in range(240)]
     check(spark, rows, hnsw.Settings(shard_rows=60, links=2, build_beam=1, beam=1, audit_recall=1.0))
+
+
+def test_ground_walk_by_arrays_is_as_good_as_node_by_node():
+    """A beam finds no worse nodes, in far fewer numpy calls, and leaves no marks behind."""
+    rng = np.random.default_rng(12)
+    v = hnsw.unit(rng.normal(size=(1500, 32)))
+    graph = hnsw.Graph(v, hnsw.Settings(beam=64)).build()
+    again = hnsw.Graph.unpack(*graph.pack(), 32, hnsw.Settings(beam=64))
+    ours = theirs = 0.0
+    for q in hnsw.unit(rng.normal(size=(60, 32))):
+        start = (float(v[graph.entry] @ q), graph.entry)
+        got, want = graph._on_ground(q, start, 64), graph._walk(q, [start], 64, 0)
+        assert len(got) == len(set(x for _, x in got)) == len(want) == 64
+        assert all(abs(sim - v[x] @ q) < 1e-12 for sim, x in got) and got == sorted(got, key=lambda x: -x[0])
+        assert again._on_ground(q, start, 64) == got == graph._on_ground(q, start, 64)
+        ours, theirs = ours + got[-1][0], theirs + want[-1][0]
+    assert ours >= theirs - 1e-9

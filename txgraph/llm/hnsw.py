@@ -54,6 +54,7 @@ class Graph:
         self.near: list[dict[int, list[int]]] = [{} for _ in range(int(self.level.max(initial=0)) + 1)]
         self.entry, self.top = -1, -1
         self.beam = s.beam
+        self._ground: tuple | None = None
 
     def build(self) -> "Graph":
         for node in range(len(self.v)):
@@ -199,7 +200,51 @@ class Graph:
         starts = [(float(self.v[self.entry] @ q), self.entry)]
         for level in range(self.top, 0, -1):
             starts = self._walk(q, starts, 1, level)
-        return self._walk(q, starts, self.beam, 0)
+        return self._on_ground(q, starts[0], self.beam)
+
+    def _on_ground(self, q: np.ndarray, start: tuple[float, int], beam: int) -> list[tuple[float, int]]:
+        """``_walk`` on the finished ground level, which asks the neighbours of several nodes at once.
+
+        It ends as that does, when no node of the beam is left to go on from.
+        """
+        if self._ground is None or self._ground[0] is not self.near[0]:
+            size = max(1, max(map(len, self.near[0].values())))
+            table = np.repeat(np.arange(len(self.v), dtype=np.int32)[:, None], size, axis=1)  # filled up with the node
+            for node, near in self.near[0].items():
+                table[node, : len(near)] = near
+            self._ground = (self.near[0], table, np.zeros(len(self.v), dtype=bool), np.zeros(len(self.v), dtype=np.int32))
+        _, table, seen, last = self._ground
+        seen[start[1]] = True
+        met = [np.array([start[1]])]
+        nodes, sims = met[0], np.array([start[0]])
+        fresh_from = np.ones(1, dtype=bool)
+        width = max(2, beam // 8)
+        while True:
+            ahead = np.flatnonzero(fresh_from)[:width]
+            if not len(ahead):
+                break
+            fresh_from[ahead] = False
+            near = table[nodes[ahead]].ravel()
+            near = near[~seen[near]]
+            if not len(near):
+                continue
+            place = np.arange(len(near), dtype=np.int32)
+            last[near] = place
+            near = near[last[near] == place]  # each node once
+            seen[near] = True
+            met.append(near)
+            found = (self.v.take(near, axis=0) @ q)
+            if len(nodes) >= beam:
+                better = found > sims[-1]
+                near, found = near[better], found[better]
+                if not len(near):
+                    continue
+            sims = np.concatenate([sims, found])
+            order = np.argsort(-sims, kind="stable")[:beam]
+            sims, nodes = sims[order], np.concatenate([nodes, near])[order]
+            fresh_from = np.concatenate([fresh_from, np.ones(len(near), dtype=bool)])[order]
+        seen[np.concatenate(met)] = False
+        return list(zip(sims.tolist(), nodes.tolist(), strict=True))
 
     def pack(self) -> tuple[bytes, bytes]:
         """Neighbour lists as numbers: per level the nodes, the lengths and the lists."""
@@ -214,7 +259,7 @@ class Graph:
     @classmethod
     def unpack(cls, links: bytes, vectors: bytes, dim: int, s: Settings) -> "Graph":
         graph = cls.__new__(cls)
-        graph.s, graph.v = s, np.frombuffer(vectors, "<f8").reshape(-1, dim)
+        graph.s, graph.v, graph._ground = s, np.frombuffer(vectors, "<f8").reshape(-1, dim), None
         numbers = np.frombuffer(links, "<i4")
         graph.entry, graph.top, graph.beam, levels = (int(x) for x in numbers[:4])
         at, graph.near = 4, []
