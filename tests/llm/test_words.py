@@ -2,13 +2,13 @@ import tracemalloc
 
 import numpy as np
 
-from txgraph.llm.words import word_hashes
+from txgraph.llm.words import block_hashes
 
 
 def hashes(texts):
     data = [t.encode() for t in texts]
     offsets = np.cumsum([0, *map(len, data)])
-    return word_hashes(np.frombuffer(b"".join(data), np.uint8), offsets)
+    return block_hashes(np.frombuffer(b"".join(data), np.uint8), offsets)
 
 
 def test_words_are_told_apart_and_never_cross_texts():
@@ -27,7 +27,7 @@ def test_words_are_told_apart_and_never_cross_texts():
 def test_memory_goes_with_words_and_not_with_bytes():
     data = np.frombuffer(b"lengthy words of a text " * 40_000, np.uint8)
     tracemalloc.start()
-    word_hashes(data, np.array([0, len(data)]))
+    block_hashes(data, np.array([0, len(data)]))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 20 * len(data)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from txgraph.llm.common import TEXTS_PER_BATCH, chunks, discard, freeze, numbered, partitions_for, scratch_uri, small, written
 from txgraph.llm.components import components
-from txgraph.llm.words import mix, shingles, word_hashes
+from txgraph.llm.words import block_hashes, mix, shingles
 from txgraph.session import session_conf
 
 WORDS = 5
@@ -61,7 +61,7 @@ def shingle_runs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.n
     """(first row, sorted distinct shingles of each text in turn, where those of each begin and the
     last end) of runs of texts of a batch."""
     for first, end, data, offsets in chunks(batch.column(column), RUN_BYTES):
-        words, before = word_hashes(data, offsets)
+        words, before = block_hashes(data, offsets)
         hashes, upto = shingles(words, before, WORDS)
         for row in range(end - first):
             hashes[upto[row] : upto[row + 1]].sort()
@@ -141,7 +141,7 @@ def _looked_up_many(
     parts = max(LEAST_PARTS, 4 ** (band + 2))
     part = (taken & np.uint64(parts - 1)).astype(np.int64)
     part += np.repeat(np.arange(len(rows)) * parts, lengths)
-    order = np.argsort(part, kind="stable")
+    order = np.argsort(part)  # the order within a part does not matter
     part = part[order]
     starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
     sketch = np.bitwise_xor.reduceat(mix(taken[order]), starts)

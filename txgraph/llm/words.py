@@ -1,8 +1,8 @@
 """Words of many texts at once, as 64-bit hashes.
 
 A word is a run of bytes other than blank, tab, line feed, vertical tab, form feed and carriage
-return. Its hash is multilinear in its mixed blocks of eight bytes (A-Z lowered) and then mixed, so
-that different words agree with a chance of about 2^-57.
+return. Its hash is multilinear in its bytes (A-Z lowered) and then mixed, so that different
+words agree with a chance of about 2^-57.
 """
 
 from __future__ import annotations
@@ -11,6 +11,10 @@ import numpy as np
 
 _PLACES = 4096
 _R = np.random.default_rng(20240607).integers(0, 1 << 63, _PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_CODE = np.arange(1, 257, dtype=np.uint64)  # of a byte, A-Z lowered
+_CODE[65:91] += np.uint64(32)
 _LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
@@ -24,8 +28,33 @@ def mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words before each text and in all.
 
-    ``offsets`` has the start of each text in ``data`` and the end; words never cross texts. Words
-    are read eight bytes at a time, so the work goes with the words and not with the bytes.
+    ``offsets`` has the start of each text in ``data`` and the end; words never cross texts.
+    """
+    none = np.zeros(len(offsets), dtype=np.int64)
+    inside = ~_SPACE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    cuts = offsets[:-1][offsets[:-1] < len(data)]
+    begins[cuts] = inside[cuts]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), none
+    kept = _CODE[data[inside]]
+    first = np.cumsum(inside)[starts] - 1  # where each word starts among the kept bytes
+    lengths = np.diff(np.append(first, len(kept)))
+    place = np.arange(len(kept)) - np.repeat(first, lengths)
+    if lengths.max() > _PLACES:
+        kept *= _R[place & (_PLACES - 1)] * (2 * (place >> 12) + 1).astype(np.uint64)
+    else:
+        kept *= _R[place]
+    sums = np.add.reduceat(kept, first)
+    return mix(sums + lengths.astype(np.uint64)), np.searchsorted(starts, offsets).astype(np.int64)
+
+
+def block_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_hashes``, with other hashes: multilinear in mixed blocks of eight bytes.
+
+    Words are read a block at a time, so the work goes with the words and not with the bytes.
     """
     inside = (data != 0x20) & (data - np.uint8(0x09) > 4)
     last = np.zeros(len(data), dtype=bool)
