@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from txgraph.llm.common import discard, freeze, scratch_uri, small, written
 
+ROWS_PER_PART = 20_000  # of the labels
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); component is its smallest node.
@@ -49,4 +51,5 @@ def components(edges: DataFrame) -> DataFrame:
         rest = written(pairs.distinct(), f"{folder}/{number}")
     labels = freeze(labels)
     discard(folder)
-    return labels
+    # Rounds join the labels again and again: each partition would be a task and files in every exchange.
+    return labels.coalesce(max(1, -(-labels.count() // ROWS_PER_PART)))

@@ -53,6 +53,7 @@ CHUNK = 4096
 LEAST_PARTS = 64
 RUN_BYTES = 512 << 10  # of texts that are hashed together
 FILTER_BITS = 22
+ROWS_PER_PART = 20_000  # of tables of numbers that the rounds join again and again
 HELPED_TURNS = 8  # at most; what is left then is compared in full
 CENTRES = 64  # of a group in the first round that compares in full
 
@@ -561,6 +562,16 @@ def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def _gathered(df: DataFrame) -> DataFrame:
+    """The checkpointed rows in no more partitions than their number needs.
+
+    Each partition of a table is a task and three files in every exchange that reads it, however
+    few its rows are, and the rounds make many exchanges.
+    """
+    kept = freeze(df)
+    return kept.coalesce(max(1, -(-kept.count() // ROWS_PER_PART)))
+
+
 def _stars(found: DataFrame) -> DataFrame:
     """(hub, x): the hub of each group with each other member, once per hub and chunk."""
 
@@ -596,7 +607,8 @@ def _classes(pairs: DataFrame, told: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
     """Pairs of classes whose sets are similar: bounds first, then the sets."""
-    asked = freeze(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct())
+    pairs = _gathered(pairs)
+    asked = _gathered(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct())
     own = told.where("uid = first").join(small(asked, asked.count()), "uid", "left_semi")
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -615,14 +627,14 @@ def _links(pairs: DataFrame, told: DataFrame, given: DataFrame) -> DataFrame:
     right = own.select(F.col("uid").alias("b"), F.col("n").alias("t"), F.col("bits").alias("v"))
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t", "u", "v")
     with session_conf(given.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="2000"):
-        near = freeze(near.mapInArrow(bound, "a long, b long"))
+        near = _gathered(near.mapInArrow(bound, "a long, b long"))
     return _verified(near, given)
 
 
 def _verified(near: DataFrame, given: DataFrame) -> DataFrame:
     """Those pairs of classes whose sets are similar."""
     wanted = near.select(F.col("a").alias("uid")).union(near.select("b")).distinct()
-    wanted = freeze(wanted)
+    wanted = _gathered(wanted)
     texts = given.join(small(wanted, wanted.count()), "uid", "left_semi").dropDuplicates(["uid"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -648,7 +660,7 @@ def _verified(near: DataFrame, given: DataFrame) -> DataFrame:
     joined = near.join(u, "a").join(v, "b").select("a", "b", "u", "v")
     # Two whole sets a row: small batches bound the memory of a task.
     with session_conf(given.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
-        return freeze(joined.mapInArrow(verify, "a long, b long"))
+        return _gathered(joined.mapInArrow(verify, "a long, b long"))
 
 
 def _centres(open_: DataFrame, stray: DataFrame, most: int) -> DataFrame:
@@ -790,7 +802,7 @@ def _resolve(
     found: DataFrame, stars: DataFrame, labels: DataFrame, told: DataFrame, given: DataFrame
 ) -> DataFrame:
     """Labels once every group is within one component or fully compared."""
-    stray = freeze(_strays(stars, told, labels))
+    stray = _gathered(_strays(stars, told, labels))
     sizes = F.length("members") > 8  # a hub with one other member is compared already
     whole = freeze(found.where(sizes | (F.col("cuts") > 1)).dropDuplicates(["gid", "chunk"]))
     # In a family of copies most strays are near one of the members that the hub is near to.
@@ -802,23 +814,23 @@ def _resolve(
         links = _links(_classes(_helped(open_, stray, turn), told), told, given)
         edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
         labels = components(edges)
-        stray = freeze(_strays(stars, told, labels))
+        stray = _gathered(_strays(stars, told, labels))
         if 4 * stray.count() > 3 * left:
             break
     open_ = whole.join(stray.select("hub").distinct(), "hub", "left_semi")
     open_ = open_.withColumn("upto", F.lit(-(2**63)).cast("long"))
     most = CENTRES
     while not stray.isEmpty():
-        centres = freeze(_centres(open_, stray, most))
+        centres = _gathered(_centres(open_, stray, most))
         if centres.isEmpty():
             break
         open_ = freeze(
             open_.drop("upto", "centres").join(centres, "gid").withColumn("upto", F.element_at("centres", -1))
         )
-        links = _verified(freeze(_around(open_, told, labels)), given)
+        links = _verified(_gathered(_around(open_, told, labels)), given)
         edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
         labels = components(edges)
-        stray = freeze(_strays(stars, told, labels))
+        stray = _gathered(_strays(stars, told, labels))
         most *= CENTRES
     return labels
 
@@ -846,12 +858,12 @@ def clusters(docs: DataFrame) -> DataFrame:
     first = told.join(first, "digest").withColumn(
         "first", F.when(F.col("n") == 0, F.col("uid")).otherwise(F.col("first"))
     )
-    told = freeze(first.select("uid", "n", "bits", "first"))
+    told = _gathered(first.select("uid", "n", "bits", "first"))
     discard(folder)
     buckets = partitions_for(docs.sparkSession, given.rdd.getNumPartitions(), 1)
     with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
         found = freeze(groups(given, frequent, buckets))
-    stars = freeze(_stars(found))
+    stars = _gathered(_stars(found))
     links = _links(_classes(stars.select(F.col("hub").alias("a"), F.col("x").alias("b")), told), told, given)
     labels = _resolve(found, stars, components(links), told, given)
     names = labels.select(F.col("node").alias("first"), "component")
