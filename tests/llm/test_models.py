@@ -172,3 +172,22 @@ def test_pseudo_labels_come_from_all_documents(spark, make_docs):
     outside = make_docs(rows).where(langid.fold() != 0).count()
     assert len(asked) == 3 and all(n == outside for n, _ in asked)
     assert all(0 < len(x) <= 40 for _, x in asked) and len(set().union(*(x for _, x in asked))) == sum(len(x) for _, x in asked)
+
+
+def test_words_are_counted_in_the_pass_of_the_join(spark, make_docs, odd_rows, monkeypatch):
+    """No further pass over the texts; control characters part words here, unlike in shingles."""
+
+    def refused(docs):
+        raise AssertionError("texts read again")
+
+    monkeypatch.setattr(packing, "word_counts", refused)
+    rows = [(i, f"a{i}\x01b c\x1fd " + "w " * (i % 7), "en", "s") for i in range(40)] + [(50, None), (51, ""), (52, "x " * 25)]
+    for given in (rows, [*rows, *odd_rows], [*rows, (0, "another text of an id")]):
+        docs = make_docs(given)
+        want = {}
+        for doc_id, text, *_ in given:
+            spaced = "".join(c if c > " " else " " for c in text or "")
+            want[doc_id] = want.get(doc_id, 0) + sum(word != "" for word in spaced.split(" "))
+        got = packing.pack_apart(docs, capacity=10, per_source=2)
+        assert {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()} == want
+        assert got.where("piece = 0").count() == len(given)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txgraph.llm import parity
-from txgraph.llm.common import scratch_uri
+from txgraph.llm.common import frugal, scratch_uri
 from txgraph.llm.components import components
 
 
@@ -172,3 +172,51 @@ def test_documents_that_share_a_passage_only_are_no_group(spark, make_docs, part
     members = [len(r.members) // 8 for r in found.collect()]
     assert sum(m * (m + 1) // 2 for m in members) <= 160
     assert {r.component_id for r in parity.join(make_docs(rows)).collect()} == set(range(160))
+
+
+def test_groups_of_a_bucket_equal_brute_force():
+    """Documents that share a key are together, whatever the number of keys that none shares."""
+    rng = np.random.default_rng(9)
+    keys = {uid: np.unique(rng.integers(1 << 42, 1 << 43, 30)) for uid in range(40)}
+    for uid in range(20, 40):  # each of these shares a key with the one before
+        keys[uid][0] = keys[uid - 20][5]
+    held = []
+    for some in (range(0, 25), range(25, 40)):
+        own = np.concatenate([keys[u] for u in some]).astype("<u8")
+        place = np.zeros(len(own), "<u2").tobytes()
+        short = own.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+        uid, size = np.array(some, "<i8").tobytes(), np.full(len(some), 30, "<i8").tobytes()
+        times = np.array([len(keys[u]) for u in some], "<i4").tobytes()
+        held.append({"key": short, "place": place, "uid": uid, "size": size, "times": times})
+    found = [r for batch in parity._grouped(held) for r in batch.to_pylist()]
+    pairs = sorted((r["hub"], int(np.frombuffer(r["members"], "<i8")[0])) for r in found)
+    assert pairs == [(u, u + 20) for u in range(20)]
+    assert list(parity._grouped([])) == []
+
+
+def test_stars_leave_a_task_in_large_batches(spark, monkeypatch):
+    rows = [(hub, 0, np.array(m, "<i8").tobytes()) for hub in range(300) for m in ([hub + 1000, hub + 2000], [hub + 2000, hub + 3000])]
+    found = spark.createDataFrame(rows, "hub long, chunk long, members binary")
+    for most in (1, 20_000):
+        monkeypatch.setattr(parity, "STAR_ROWS", most)
+        got = sorted(map(tuple, parity._stars(found).collect()))
+        assert got == sorted((hub, hub + n * 1000) for hub in range(300) for n in (1, 2, 3))
+
+
+def test_a_worker_gives_back_what_a_task_has_freed():
+    from pathlib import Path
+
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 / 2**20
+
+    pins = []
+
+    def run(batches):
+        for n in batches:
+            held = [np.ones(12_000) for _ in range(n)]
+            pins.append(np.ones(12_000))  # lies behind the others, which the allocator keeps then
+            yield len(held)
+
+    before = resident()
+    assert list(frugal(run)([2000])) == [2000]
+    assert resident() - before < 100

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from txgraph.session import MAX_BROADCAST_ROWS, ensure_checkpoint_dir, freeze
 
 __all__ = [
-    "TEXTS_PER_BATCH", "chunks", "freeze", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small",
+    "TEXTS_PER_BATCH", "chunks", "freeze", "frugal", "new_texts", "numbered", "partitions_for", "read_table", "scratch_uri", "small",
     "discard", "written",
 ]
 
@@ -86,6 +88,23 @@ def chunks(
         row = end
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, after which the worker gives the memory it freed back.
+
+    Workers wait for further tasks beside the executor's JVM; what their allocators keep is taken
+    from that of the stages that follow, even if these have no Python.
+    """
+
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(AttributeError, OSError):  # where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def new_texts(texts: list[bytes], uids: list[int], seen: dict[bytes, int]) -> list[bool]:
     """Which texts are new in this task, or of a smaller uid than all their copies so far.
 
@@ -104,21 +123,26 @@ def new_texts(texts: list[bytes], uids: list[int], seen: dict[bytes, int]) -> li
     return out
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(uid, text) in the order of documents; the numbering if ids could not serve as uid."""
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(uid, text) in the order of documents; the numbering if ids could not serve as uid; and
+    (uid, doc_id, text_hash) of every document, once."""
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    told = given.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
-        F.min("h").alias("low"), F.max("h").alias("high")
+    told = freeze(
+        given.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(
+            F.min("h").alias("low"), F.max("h").alias("high")
+        )
     )
     if told.where("doc_id IS NULL OR low <> high").limit(1).count() == 0:
-        return given.withColumnRenamed("doc_id", "uid"), None
+        keys = told.select(F.col("doc_id").alias("uid"), "doc_id", F.col("low").alias("text_hash"))
+        return given.withColumnRenamed("doc_id", "uid"), None, keys
     pairs = given.select("doc_id", F.xxhash64("text").alias("h")).distinct()
     ordered = pairs.orderBy(F.col("doc_id").asc_nulls_last(), "h").rdd.zipWithIndex()
     schema = "d long, h long, uid long"
     numbers = freeze(docs.sparkSession.createDataFrame(ordered.map(lambda x: (*x[0], x[1])), schema))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h"))
-    return given.join(numbers, same).select("uid", "text"), numbers
+    keys = numbers.select("uid", F.col("d").alias("doc_id"), F.col("h").alias("text_hash"))
+    return given.join(numbers, same).select("uid", "text"), numbers, keys
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

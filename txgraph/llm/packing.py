@@ -33,6 +33,16 @@ from txgraph.session import session_conf
 OUT = "doc_id long, piece int, n_tokens long, bin_id string, start long"
 
 
+def words_in(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The number of words of each of several texts, which lie in ``data`` one after another."""
+    inside = data > 0x20
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    cuts = offsets[:-1][offsets[:-1] < len(data)]
+    begins[cuts] = inside[cuts]
+    return np.diff(np.searchsorted(np.flatnonzero(begins), offsets))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, source, cluster, n_tokens) of every row, the text read once."""
 
@@ -40,13 +50,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             counts = np.zeros(batch.num_rows, dtype=np.int64)
             for first, end, data, offsets in chunks(batch.column(3), 512 << 10):
-                inside = data > 0x20
-                begins = inside.copy()
-                begins[1:] &= ~inside[:-1]
-                cuts = offsets[:-1][offsets[:-1] < len(data)]
-                begins[cuts] = inside[cuts]
-                total = np.concatenate([[0], np.cumsum(begins)])
-                counts[first:end] = total[offsets[1:]] - total[offsets[:-1]]
+                counts[first:end] = words_in(data, offsets)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(counts)], names=["doc_id", "source", "cluster", "n_tokens"]
             )
@@ -127,6 +131,11 @@ def pack(
         told = clusters.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "component")
         joined = counted.join(told, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cluster") == F.col("h")))
         counted = freeze(joined.select("doc_id", "source", F.col("component").alias("cluster"), "n_tokens", "row"))
+    return _packed(counted, capacity, per_source, shard_rows)
+
+
+def _packed(counted: DataFrame, capacity: int, per_source: int, shard_rows: int) -> DataFrame:
+    """The pieces of rows (doc_id, source, cluster, n_tokens, row), all their words counted."""
     shards = -(-counted.count() // shard_rows)
     whole = (F.col("n_tokens") / capacity).cast("long")
     name = F.concat(F.lit("f"), F.col("row").cast("string"), F.lit("-"), F.col("piece").cast("string"))
@@ -155,12 +164,28 @@ def pack(
             }
         )
 
-    tasks = partitions_for(docs.sparkSession, shards, 1)
+    tasks = partitions_for(counted.sparkSession, shards, 1)
     packed = rest.repartition(tasks, "shard").groupBy("shard").applyInPandas(run, OUT.replace("doc_id long", "doc_id string"))
     packed = packed.withColumn("doc_id", F.col("doc_id").cast("long"))
     return full.unionByName(none).unionByName(packed)
 
 
 def pack_apart(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 8192) -> DataFrame:
-    """``pack`` with the components of near copies as duplicate clusters."""
-    return pack(docs, capacity, per_source, shard_rows, clusters=parity.clusters(docs))
+    """``pack`` with the components of near copies as duplicate clusters.
+
+    The words are counted where the join reads the texts; rows meet their counts by the id, and
+    by the text's hash too only where ids do not tell all documents apart.
+    """
+    found = parity.clusters(docs, words_in)
+    doc_id, text_hash = parity.row_key()
+    rows = docs.select(doc_id.alias("doc_id"), F.col("source").cast("string").alias("source"), text_hash.alias("th"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    told = found.select(
+        F.col("doc_id").alias("d"), F.col("text_hash").alias("h"),
+        F.col("component").alias("cluster"), F.col("measured").alias("n_tokens"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("d"))
+    if not found.where("doc_id IS NULL OR doc_id <> uid").isEmpty():
+        same = same & (F.col("th") == F.col("h"))
+    counted = freeze(rows.join(told, same).select("doc_id", "source", "cluster", "n_tokens", "row"))
+    return _packed(counted, capacity, per_source, shard_rows)

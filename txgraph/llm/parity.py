@@ -32,14 +32,16 @@ are numbered first; equal rows get equal results.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import TEXTS_PER_BATCH, chunks, discard, freeze, numbered, partitions_for, scratch_uri, small, written
+from txgraph.llm.common import (
+    TEXTS_PER_BATCH, chunks, discard, freeze, frugal, numbered, partitions_for, scratch_uri, small, written,
+)
 from txgraph.llm.components import components
 from txgraph.llm.words import block_hashes, mix, shingles
 from txgraph.session import session_conf
@@ -55,21 +57,29 @@ RUN_BYTES = 512 << 10  # of texts that are hashed together
 FILTER_BITS = 22
 ROWS_PER_PART = 20_000  # of tables of numbers that the rounds join again and again
 HELPED_TURNS = 8  # at most; what is left then is compared in full
+STAR_ROWS = 20_000  # that leave a task together
 CENTRES = 64  # of a group in the first round that compares in full
 
+# A whole number for each of several texts, from their bytes and the offsets of the texts in these.
+Measure = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def shingles_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of each text in turn, and where those of each begin and the last end."""
+    words, before = block_hashes(data, offsets)
+    hashes, upto = shingles(words, before, WORDS)
+    for row in range(len(offsets) - 1):
+        hashes[upto[row] : upto[row + 1]].sort()
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[upto[:-1][upto[:-1] < len(hashes)]] = True
+    return hashes[new], np.concatenate([[0], np.cumsum(new)])[upto]
+
 
 def shingle_runs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, sorted distinct shingles of each text in turn, where those of each begin and the
-    last end) of runs of texts of a batch."""
-    for first, end, data, offsets in chunks(batch.column(column), RUN_BYTES):
-        words, before = block_hashes(data, offsets)
-        hashes, upto = shingles(words, before, WORDS)
-        for row in range(end - first):
-            hashes[upto[row] : upto[row + 1]].sort()
-        new = np.ones(len(hashes), dtype=bool)
-        new[1:] = hashes[1:] != hashes[:-1]
-        new[upto[:-1][upto[:-1] < len(hashes)]] = True
-        yield first, hashes[new], np.concatenate([[0], np.cumsum(new)])[upto]
+    """(first row, then as ``shingles_of``) of runs of texts of a batch."""
+    for first, _, data, offsets in chunks(batch.column(column), RUN_BYTES):
+        yield first, *shingles_of(data, offsets)
 
 
 def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -110,23 +120,33 @@ def linked(inter: int, s: int, t: int) -> bool:
     return 100 * inter >= 75 * (s + t - inter)
 
 
+def _parts(band: int) -> int:
+    """Parts of the hash space in a band: four and more for each element, so that few share one."""
+    return max(LEAST_PARTS, 4 ** (band + 2))
+
+
+def _part_of(own: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each shingle by its first bits, so that those of a sorted set are sorted."""
+    return own >> np.uint64(65 - parts.bit_length())
+
+
+def _key(sketch: np.ndarray, part: np.ndarray, band: int) -> np.ndarray:
+    """A sketch as a key of 58 bits; the last six are zero and leave room for a rank."""
+    return mix(sketch ^ (part * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1)) & ~np.uint64(63)
+
+
 def _looked_up(own: np.ndarray, often: np.ndarray, band: int, most: int) -> np.ndarray:
-    """The ``most`` + 1 first sketches of a set in the order of one band, as 64-bit keys."""
-    # Four parts and more for each element, so that few of them share one.
-    parts = np.uint64(max(LEAST_PARTS, 4 ** (band + 2)))
-    part = own & (parts - np.uint64(1))
-    order = np.argsort(part, kind="stable")
-    part = part[order]
+    """The ``most`` + 1 first sketches of a sorted set in the order of one band, as 64-bit keys."""
+    parts = _parts(band)
+    part = _part_of(own, parts)
     starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    sketch = np.bitwise_xor.reduceat(mix(own[order]), starts)
-    rank = np.minimum.reduceat(often[order], starts)
+    rank = np.minimum.reduceat(often, starts)
     used = part[starts]
-    keys = mix(sketch ^ (used * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1))
+    keys = _key(np.bitwise_xor.reduceat(mix(own), starts), used, band)
     keys = keys[np.lexsort((keys, rank))]
     if len(keys) <= most:  # empty parts come last
         rest = np.setdiff1d(np.arange(parts, dtype=np.uint64), used)
-        empty = mix((rest * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1))
-        empty = np.sort(empty)[: most + 1 - len(keys)]
+        empty = np.sort(_key(np.uint64(0), rest, band))[: most + 1 - len(keys)]
         return np.concatenate([keys, empty])
     return keys[: most + 1]
 
@@ -139,28 +159,27 @@ def _looked_up_many(
     before = np.concatenate([[0], np.cumsum(lengths)])
     flat = np.arange(before[-1]) + np.repeat(upto[rows] - before[:-1], lengths)
     taken, rank = own[flat], often[flat]
-    parts = max(LEAST_PARTS, 4 ** (band + 2))
-    part = (taken & np.uint64(parts - 1)).astype(np.int64)
-    part += np.repeat(np.arange(len(rows)) * parts, lengths)
-    order = np.argsort(part)  # the order within a part does not matter
-    part = part[order]
-    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    sketch = np.bitwise_xor.reduceat(mix(taken[order]), starts)
-    rank = np.minimum.reduceat(rank[order], starts)
-    part = part[starts]
-    used = (part % parts).astype(np.uint64)
-    keys = mix(sketch ^ (used * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(band + 1))
-    # Rank and key in one number: what falls below its last bit is a chance of 2^-58.
+    part = _part_of(taken, _parts(band))
+    new = np.ones(len(part), dtype=bool)
+    new[1:] = part[1:] != part[:-1]
+    new[before[:-1]] = True
+    starts = np.flatnonzero(new)
+    rank = np.minimum.reduceat(rank, starts)
+    keys = _key(np.bitwise_xor.reduceat(mix(taken), starts), part[starts], band)
+    # Rank and key in one number, which is sorted as it is.
     lot = (rank.astype(np.uint64) << np.uint64(58)) | (keys >> np.uint64(6))
-    bounds = np.searchsorted(part, np.arange(len(rows) + 1) * parts).tolist()
-    out = []
-    for i, (a, b, n) in enumerate(zip(bounds, bounds[1:], most.tolist(), strict=False)):
-        if b - a > n:
-            out.append(keys[a:b][np.argsort(lot[a:b])[: n + 1]])
-        else:
-            at = slice(upto[rows[i]], upto[rows[i] + 1])
-            out.append(_looked_up(own[at], often[at], band, n))
-    return np.concatenate(out)
+    bounds = np.searchsorted(starts, before)
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+        lot[a:b].sort()
+    wanted = most + 1
+    place = np.arange(wanted.sum()) - np.repeat(np.cumsum(wanted) - wanted, wanted)
+    at = np.repeat(bounds[:-1], wanted) + place
+    out = lot[np.minimum(at, len(lot) - 1)] << np.uint64(6)
+    upto_out = np.concatenate([[0], np.cumsum(wanted)])
+    for i in np.flatnonzero(np.diff(bounds) <= most).tolist():  # with empty parts
+        one = slice(upto[rows[i]], upto[rows[i] + 1])
+        out[upto_out[i] : upto_out[i + 1]] = _looked_up(own[one], often[one], band, int(most[i]))
+    return out
 
 
 def keys_of(own: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,24 +266,29 @@ def _counted_bits(tasks: int) -> int:
     return max(COUNTED_BITS - 32, (4 * tasks).bit_length())
 
 
-def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
-    """(uid, n, digest, bits) of every document, and the frequent shingles with their level.
+def profiles(
+    given: DataFrame, folder: str, measure: Measure | None = None
+) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """(uid, n, digest, bits, measured) of every document, and the frequent shingles with their level.
 
     Both come out of one pass: the counts of a bucket meet in one task and leave it as levels, the
-    rows of documents pass through.
+    rows of documents pass through. ``measured`` is what ``measure`` tells of the text, else null.
     """
     spark = given.sparkSession
     bits = _counted_bits(given.rdd.getNumPartitions())
     low = COUNTED_BITS - bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["uid", "n", "digest", "bits", "bucket", "low", "times"]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+        names = ["uid", "n", "digest", "bits", "measured", "bucket", "low", "times"]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         held: list[np.ndarray] = []
         size = 0
 
         def counted() -> pa.RecordBatch:
-            found, times = np.unique(np.concatenate(held) >> np.uint64(64 - COUNTED_BITS), return_counts=True)
+            each = np.concatenate(held) >> np.uint64(64 - COUNTED_BITS)
+            each.sort()
+            starts = np.flatnonzero(np.concatenate([[True], each[1:] != each[:-1]]))
+            found, times = each[starts], np.diff(np.append(starts, len(each)))
             bucket = (found >> np.uint64(low)).astype(np.int64)
             bounds = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             rest = (found & np.uint64((1 << low) - 1)).astype("<u4")
@@ -273,7 +297,7 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
                 # Most occur once: only the others' places and counts are told.
                 often = np.flatnonzero(times[i:j] > 1)
                 told = np.stack([often, times[i:j][often]]).astype("<u4").tobytes()
-                rows.append((None, None, None, None, int(bucket[i]), rest[i:j].tobytes(), told))
+                rows.append((None, None, None, None, None, int(bucket[i]), rest[i:j].tobytes(), told))
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
             )
@@ -281,11 +305,13 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
         for batch in batches:
             uids = batch.column(0).to_pylist()
             rows = []
-            for first, all_, upto in shingle_runs(batch, 1):
+            for first, end, data, offsets in chunks(batch.column(1), RUN_BYTES):
+                all_, upto = shingles_of(data, offsets)
+                measured = measure(data, offsets).tolist() if measure else [None] * (end - first)
                 for row, packed in enumerate(parities_of(all_, upto)):
                     own = all_[upto[row] : upto[row + 1]]
                     digest = hashlib.blake2b(own, digest_size=16).digest()
-                    rows.append((uids[first + row], len(own), digest, packed, None, None, None))
+                    rows.append((uids[first + row], len(own), digest, packed, measured[row], None, None, None))
                 if len(all_):
                     held.append(all_)
                 size += len(all_)
@@ -300,18 +326,18 @@ def profiles(given: DataFrame, folder: str) -> tuple[DataFrame, tuple[np.ndarray
             yield counted()
 
     both = given.mapInArrow(
-        run, "uid long, n long, digest binary, bits binary, bucket long, low binary, times binary"
+        frugal(run), "uid long, n long, digest binary, bits binary, measured long, bucket long, low binary, times binary"
     )
     key = F.coalesce("bucket", F.xxhash64("uid"))
     dealt = both.repartition(partitions_for(spark, given.rdd.getNumPartitions(), 1), key)
     both = written(
         dealt.sortWithinPartitions("bucket").mapInArrow(
-            lambda batches: _levels(batches, low),
-            "uid long, n long, digest binary, bits binary, level int, names binary",
+            frugal(lambda batches: _levels(batches, low)),
+            "uid long, n long, digest binary, bits binary, measured long, level int, names binary",
         ),
         f"{folder}/profiles",
     )
-    told = both.where("level IS NULL").select("uid", "n", "digest", "bits").dropDuplicates(["uid"])
+    told = both.where("level IS NULL").select("uid", "n", "digest", "bits", "measured").dropDuplicates(["uid"])
     levels = both.where("level IS NOT NULL").select("level", "n", "names")
     # From the most frequent level down as many levels as have FREQUENT shingles in all.
     chosen, total = [], 0
@@ -333,7 +359,7 @@ def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBa
 
     Rows of documents, which come first, stay as they are.
     """
-    out = ["uid", "n", "digest", "bits", "level", "names"]
+    out = ["uid", "n", "digest", "bits", "measured", "level", "names"]
     names: list[np.ndarray] = []
     times: list[np.ndarray] = []
 
@@ -342,15 +368,18 @@ def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBa
         order = np.argsort(name, kind="stable")
         name, each = name[order], each[order]
         starts = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
-        level = np.frexp(np.add.reduceat(each, starts).astype(float))[1] - 1
-        name = name[starts].astype("<u8") + np.uint64(bucket << low)
-        found = [int(x) for x in np.unique(level) if x >= LEAST_LEVEL]
+        each = np.add.reduceat(each, starts)
+        often = np.flatnonzero(each >= 1 << LEAST_LEVEL)
+        level = np.frexp(each[often].astype(float))[1] - 1
+        name = name[starts[often]].astype("<u8") + np.uint64(bucket << low)
+        found = np.unique(level).tolist()
         parts = [name[level == x] for x in found]
         return pa.RecordBatch.from_arrays(
             [
                 pa.nulls(len(found), pa.int64()),
                 pa.array([len(x) for x in parts], pa.int64()),
                 *[pa.nulls(len(found), pa.binary())] * 2,
+                pa.nulls(len(found), pa.int64()),
                 pa.array(found, pa.int32()),
                 pa.array([x.tobytes() for x in parts], pa.binary()),
             ],
@@ -359,14 +388,14 @@ def _levels(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBa
 
     at = None
     for batch in batches:
-        documents = batch.filter(batch.column(4).is_null())
+        documents = batch.filter(batch.column(5).is_null())
         if documents.num_rows:
             n = documents.num_rows
             yield pa.RecordBatch.from_arrays(
-                [*documents.columns[:4], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=out
+                [*documents.columns[:5], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=out
             )
-        counted = batch.filter(batch.column(4).is_valid())
-        for bucket, rest, told in zip(*(c.to_pylist() for c in counted.columns[4:]), strict=True):
+        counted = batch.filter(batch.column(5).is_valid())
+        for bucket, rest, told in zip(*(c.to_pylist() for c in counted.columns[5:]), strict=True):
             if bucket != at and at is not None:
                 yield close(at)
                 names, times = [], []
@@ -434,7 +463,7 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
                 times = np.diff(np.append(cut, len(owner))).astype("<i4")
                 whose = owner[cut]
                 # Six bytes of a key beside the bucket; a chance match is a pair more to verify.
-                short = key[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                short = key[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:7]
                 columns = (short, place[part], uid[whose], s[whose], times)
                 rows.append((int(b), *(c.tobytes() for c in columns)))
             kinds = [pa.int64()] + [pa.binary()] * 5
@@ -486,10 +515,10 @@ def groups(given: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: i
         yield from _grouped(held)
 
     packed = given.mapInArrow(
-        pack, "bucket long, key binary, place binary, uid binary, size binary, times binary"
+        frugal(pack), "bucket long, key binary, place binary, uid binary, size binary, times binary"
     )
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(compare, "gid long, hub long, cuts long, chunk long, members binary")
+    return dealt.mapInArrow(frugal(compare), "gid long, hub long, cuts long, chunk long, members binary")
 
 
 def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -498,14 +527,22 @@ def _grouped(held: list[dict]) -> Iterator[pa.RecordBatch]:
         return
     short = np.concatenate([np.frombuffer(r["key"], np.uint8).reshape(-1, 6) for r in held])
     key = np.concatenate([short, np.zeros((len(short), 2), np.uint8)], axis=1).view("<u8").ravel()
-    place = np.concatenate([np.frombuffer(r["place"], "<u2") for r in held])
-    times = [np.frombuffer(r["times"], "<i4") for r in held]
-    uid, size = (
-        np.concatenate([np.repeat(np.frombuffer(r[c], "<i8"), n) for r, n in zip(held, times, strict=True)])
-        for c in ("uid", "size")
+    # Key and row in one number, which is sorted as it is: a key loses its first bits where there are many.
+    bits = np.uint64(len(key).bit_length())
+    lot = (key << bits) | np.arange(len(key), dtype=np.uint64)
+    lot.sort()
+    key = lot >> bits
+    same = key[1:] == key[:-1]
+    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    if not shared.any():
+        return
+    at, key = (lot[shared] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), key[shared]
+    uid, size, times = (
+        np.concatenate([np.frombuffer(r[c], kind) for r in held]) for c, kind in (("uid", "<i8"), ("size", "<i8"), ("times", "<i4"))
     )
-    order = np.argsort(key)
-    key, uid, size, place = key[order], uid[order], size[order], place[order].astype(np.int64)
+    whose = np.repeat(np.arange(len(times)), times)[at]
+    uid, size = uid[whose], size[whose]
+    place = np.concatenate([np.frombuffer(r["place"], "<u2") for r in held])[at].astype(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(starts, len(key)))
     rows: list[tuple[int, int, int, int, bytes]] = []
@@ -577,21 +614,34 @@ def _stars(found: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
+        hubs: list[int] = []
+        lists: list[np.ndarray] = []
+        size = 0
 
-        def pairs() -> Iterator[pa.RecordBatch]:
-            if held:
-                members = np.unique(np.concatenate(held))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(members), current[0])), pa.array(members)], names=["hub", "x"]
-                )
+        def close() -> int:
+            """Notes the members of the hub and chunk at hand; their number."""
+            members = held[0] if len(held) == 1 else np.unique(np.concatenate(held))
+            hubs.append(current[0])
+            lists.append(members)
+            return len(members)
+
+        def pairs() -> pa.RecordBatch:
+            hub = np.repeat(np.array(hubs, dtype=np.int64), [len(x) for x in lists])
+            return pa.RecordBatch.from_arrays([pa.array(hub), pa.array(np.concatenate(lists))], names=["hub", "x"])
 
         for batch in batches:
             for hub, chunk, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (hub, chunk) != current:
-                    yield from pairs()
+                    if held:
+                        size += close()
+                    if size >= STAR_ROWS:
+                        yield pairs()
+                        hubs, lists, size = [], [], 0
                     current, held = (hub, chunk), []
                 held.append(np.frombuffer(members, "<i8"))
-        yield from pairs()
+        if held:
+            close()
+            yield pairs()
 
     dealt = found.select("hub", "chunk", "members").repartition("hub", "chunk")
     return dealt.sortWithinPartitions("hub", "chunk").mapInArrow(run, "hub long, x long").distinct()
@@ -642,7 +692,7 @@ def _verified(near: DataFrame, given: DataFrame) -> DataFrame:
             out = [own_.tobytes() for _, own_ in shingle_sets(batch, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["uid", "shingles"])
 
-    held = freeze(texts.select("uid", "text").mapInArrow(sets, "uid long, shingles binary"))
+    held = freeze(texts.select("uid", "text").mapInArrow(frugal(sets), "uid long, shingles binary"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -660,7 +710,7 @@ def _verified(near: DataFrame, given: DataFrame) -> DataFrame:
     joined = near.join(u, "a").join(v, "b").select("a", "b", "u", "v")
     # Two whole sets a row: small batches bound the memory of a task.
     with session_conf(given.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
-        return _gathered(joined.mapInArrow(verify, "a long, b long"))
+        return _gathered(joined.mapInArrow(frugal(verify), "a long, b long"))
 
 
 def _centres(open_: DataFrame, stray: DataFrame, most: int) -> DataFrame:
@@ -744,23 +794,26 @@ def _around(open_: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
                     names=["gid", "chunk", "centre", "uid"],
                 )
 
-    def near(held: list[tuple]) -> pa.RecordBatch:
-        found = []
-        members = {row[1]: row for row in held if not row[0]}  # once per class
-        first = np.array(list(members), dtype=np.int64)
-        n = np.array([row[2] for row in members.values()], dtype=np.int64)
-        within = np.array([row[4] for row in members.values()], dtype=np.int64)
+    def near(held: list[pa.RecordBatch]) -> np.ndarray:
+        """The pairs of one group and chunk, from rows (centre, first, n, bits, component)."""
+        table = pa.Table.from_batches(held)
+        centre, name, n, within = (table.column(i).to_numpy() for i in (0, 1, 2, 4))
+        bits = table.column(3).to_pylist()
+        once = [np.flatnonzero(x)[np.unique(name[x], return_index=True)[1]] for x in (~centre, centre)]  # per class
+        members, centres = (x.tolist() for x in once)
         by_length: dict[int, list[int]] = {}
-        for i, row in enumerate(members.values()):
-            by_length.setdefault(len(row[3]), []).append(i)
-        blocks = {
-            k: (np.array(at), np.frombuffer(b"".join(members[int(first[i])][3] for i in at), np.uint8).reshape(-1, k))
+        for i in members:
+            by_length.setdefault(len(bits[i]), []).append(i)
+        blocks = [
+            (np.array(at), np.frombuffer(b"".join([bits[i] for i in at]), "<u8").reshape(-1, k // 8))
             for k, at in by_length.items()
-        }
-        for name, s, bits, own in {row[1]: row[1:] for row in held if row[0]}.values():
-            mine = np.frombuffer(bits, np.uint8)
-            for k, (at, block) in blocks.items():
-                some = np.flatnonzero((4 * np.minimum(n[at], s) >= 3 * np.maximum(n[at], s)) & (within[at] != own))
+        ]
+        found = [np.zeros((2, 0), np.int64)]
+        for c in centres:
+            mine, s = np.frombuffer(bits[c], "<u8"), n[c]
+            for at, block in blocks:
+                t = n[at]
+                some = np.flatnonzero((4 * np.minimum(t, s) >= 3 * np.maximum(t, s)) & (within[at] != within[c]))
                 if not len(some):
                     continue
                 left, right = mine, block[some]
@@ -770,22 +823,30 @@ def _around(open_: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
                     half = right.shape[1] // 2
                     right = right[:, :half] ^ right[:, half:]
                 apart = np.bitwise_count(right ^ left).sum(axis=1, dtype=np.int64)
-                near_ = first[at[some[7 * apart <= s + n[at[some]]]]]
-                found.append(np.stack([np.minimum(near_, name), np.maximum(near_, name)]))
-        pairs = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                other = name[at[some[7 * apart <= s + t[some]]]]
+                found.append(np.stack([np.minimum(other, name[c]), np.maximum(other, name[c])]))
+        return np.concatenate(found, axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
-            for gid, chunk, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (gid, chunk) != current:
+            if not batch.num_rows:
+                continue
+            gid, chunk = (batch.column(i).to_numpy() for i in range(2))
+            cuts = np.flatnonzero((gid[1:] != gid[:-1]) | (chunk[1:] != chunk[:-1])) + 1
+            found = []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(gid)], strict=True):
+                if (gid[a], chunk[a]) != current:
                     if held:
-                        yield near(held)
-                    current, held = (gid, chunk), []
-                held.append(tuple(row))
+                        found.append(near(held))
+                    current, held = (gid[a], chunk[a]), []
+                part = batch.slice(a, b - a)
+                held.append(pa.RecordBatch.from_arrays(part.columns[2:], names=part.schema.names[2:]))
+            if found:
+                pairs = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], names=["a", "b"])
         if held:
-            yield near(held)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in near(held)], names=["a", "b"])
 
     rows = open_.select("gid", "chunk", "members", "centres").mapInArrow(
         listed, "gid long, chunk long, centre boolean, uid long"
@@ -795,7 +856,7 @@ def _around(open_: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
     known = known.select("uid", "first", "n", "bits", F.coalesce("component", "first").alias("component"))
     sketched = rows.join(known, "uid").select("gid", "chunk", "centre", "first", "n", "bits", "component")
     dealt = sketched.repartition("gid", "chunk")
-    return dealt.sortWithinPartitions("gid", "chunk").mapInArrow(run, "a long, b long").distinct()
+    return dealt.sortWithinPartitions("gid", "chunk").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def _resolve(
@@ -844,21 +905,23 @@ def _strays(stars: DataFrame, told: DataFrame, labels: DataFrame) -> DataFrame:
     return stars.join(hub, "hub").join(x, "x").where("c <> d").select("hub", "x")
 
 
-def clusters(docs: DataFrame) -> DataFrame:
+def clusters(docs: DataFrame, measure: Measure | None = None) -> DataFrame:
     """(doc_id, text_hash, uid, n_shingles, component, component_id) of each document, once.
 
     ``doc_id`` (which may be null) and ``text_hash`` are the key of a document; ``uid`` is its number,
-    ``component`` the one of its representative and ``component_id`` the representative's id.
+    ``component`` the one of its representative and ``component_id`` the representative's id. Where ids
+    tell all documents apart, they are the numbers. With ``measure`` there is a column ``measured``, so
+    that who needs a number of every text need not read them again.
     """
-    given, numbers = numbered(docs)
+    given, numbers, keys = numbered(docs)
     folder = scratch_uri(docs.sparkSession, "parity")
     with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
-        told, frequent = profiles(given, folder)
+        told, frequent = profiles(given, folder, measure)
     first = freeze(told.groupBy("digest").agg(F.min("uid").alias("first")))
     first = told.join(first, "digest").withColumn(
         "first", F.when(F.col("n") == 0, F.col("uid")).otherwise(F.col("first"))
     )
-    told = _gathered(first.select("uid", "n", "bits", "first"))
+    told = _gathered(first.select("uid", "n", "bits", "first", "measured"))
     discard(folder)
     buckets = partitions_for(docs.sparkSession, given.rdd.getNumPartitions(), 1)
     with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=TEXTS_PER_BATCH):
@@ -868,16 +931,16 @@ def clusters(docs: DataFrame) -> DataFrame:
     labels = _resolve(found, stars, components(links), told, given)
     names = labels.select(F.col("node").alias("first"), "component")
     rows = told.join(names, "first", "left").select(
-        "uid", F.col("n").alias("n_shingles"), F.coalesce("component", "first").alias("component")
+        "uid", F.col("n").alias("n_shingles"), F.coalesce("component", "first").alias("component"), "measured"
     )
+    rows = rows.join(keys, "uid")
     if numbers is None:
-        keys = given.select("uid", F.xxhash64("text").alias("text_hash")).distinct()
-        rows = rows.join(keys, "uid").withColumns({"doc_id": F.col("uid"), "component_id": F.col("component")})
+        rows = rows.withColumn("component_id", F.col("component"))
     else:
         named = numbers.select(F.col("uid").alias("component"), F.col("d").alias("component_id"))
-        keys = numbers.select("uid", F.col("d").alias("doc_id"), F.col("h").alias("text_hash"))
-        rows = rows.join(named, "component").join(keys, "uid")
-    return freeze(rows.select("doc_id", "text_hash", "uid", "n_shingles", "component", "component_id"))
+        rows = rows.join(named, "component")
+    out = ["doc_id", "text_hash", "uid", "n_shingles", "component", "component_id"]
+    return freeze(rows.select(*out, *(["measured"] if measure else [])))
 
 
 def row_key() -> list[Column]:

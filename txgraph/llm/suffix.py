@@ -574,7 +574,7 @@ def remove(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> D
     """
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
-    given, numbers = numbered(docs)
+    given, numbers, _ = numbered(docs)
     told, cut = _search(given, length, hot_rows)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
