@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.llm.common import chunks, freeze, new_texts, numbered, partitions_for
+from txgraph.llm.common import chunks, freeze, frugal, new_texts, numbered, partitions_for
 from txgraph.llm.words import mix
 
 GRAM = 32
@@ -305,7 +305,7 @@ def hot_keys(given: DataFrame, length: int, hot_rows: int) -> np.ndarray:
             )
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total])], names=["key", "n"])
 
-    counted = given.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = given.mapInArrow(frugal(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counted = freeze(counted)
     total = counted.where("key IS NULL").agg(F.sum("n")).first()[0] or 0
     bar = max(hot_rows, total // 100_000)
@@ -407,10 +407,10 @@ def _candidates(given: DataFrame, length: int, hot: np.ndarray, buckets: int) ->
         yield from _compared(held)
 
     packed = given.mapInArrow(
-        pack, "bucket long, key binary, uid binary, start binary, n binary, marked binary"
+        frugal(pack), "bucket long, key binary, uid binary, start binary, n binary, marked binary"
     )
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(compare, "uid long, start int, n int, key long, marked boolean")
+    return dealt.mapInArrow(frugal(compare), "uid long, start int, n int, key long, marked boolean")
 
 
 def _repeated(keys: np.ndarray) -> np.ndarray:
@@ -474,7 +474,7 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return texts.mapInArrow(cut, "key long, uid long, start int, n int, content binary")
+    return texts.mapInArrow(frugal(cut), "key long, uid long, start int, n int, content binary")
 
 
 def _mark(segments: DataFrame, length: int, tasks: int) -> DataFrame:
@@ -526,7 +526,7 @@ def _mark(segments: DataFrame, length: int, tasks: int) -> DataFrame:
             yield block(held)
 
     dealt = segments.repartition(tasks, "key").sortWithinPartitions("key")
-    return dealt.mapInPandas(run, "uid long, begin int, end int")
+    return dealt.mapInPandas(frugal(run), "uid long, begin int, end int")
 
 
 def _merged(intervals: list) -> list[tuple[int, int]]:
@@ -597,7 +597,7 @@ def remove(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> D
             yield pa.RecordBatch.from_pylist(rows, pa.schema([*fields, ("kept", pa.string()), ("spans", pa.list_(span))]))
 
     part = cut.mapInArrow(
-        strip,
+        frugal(strip),
         "uid long, n_removed long, n_spans long, kept_sha256 string, kept string, spans array<struct<begin:long,end:long>>",
     )
     copy = (F.col("uid") != F.col("first")) & (F.col("n_bytes") >= length)
