@@ -8,6 +8,7 @@ from txgraph.operators import graph as G
 from txgraph.operators.betweenness import betweenness
 from txgraph.operators import betweenness as between_module
 from txgraph.operators import communities, triangles
+from txgraph.operators import pagerank as rank_module
 from txgraph.operators.communities import colour_rounds, greedy_colours, propagate_labels
 from txgraph.operators.components import component_sizes, connected_components
 from txgraph.operators.features import graph_features
@@ -408,6 +409,27 @@ def test_betweenness_of_a_graph_beyond_the_dense_kernel(spark, monkeypatch):
         assert got[(0, n)] == pytest.approx(value, abs=1e-12)
 
 
+@pytest.mark.parametrize("hub_degree", [10**9, 15])
+def test_ranks_of_a_graph_beyond_the_dense_kernel(spark, monkeypatch, hub_degree):
+    """More than 512 nodes: along the edges in one task, without a join per iteration."""
+    rows = random_rows(7, 900, 500, 70, 60)
+    graph = G.build_graph(one_graph(transactions(spark, rows)), hub_min_degree=hub_degree)
+    assert graph.n_vertices > G.KERNEL_NODES and (graph.hubs is None) == (hub_degree > 1000)
+    want = by_id(graph, pagerank(graph, kernel_nodes=0), "pagerank")
+
+    def never(*_):
+        raise AssertionError("iterations by joins")
+
+    monkeypatch.setattr(rank_module, "_distributed", never)
+    found = pagerank(graph)
+    assert found.where("not converged").isEmpty()
+    got = by_id(graph, found, "pagerank")
+    assert got.keys() == want.keys() and sum(got.values()) == pytest.approx(1.0)
+    for n, value in want.items():
+        assert got[n] == pytest.approx(value, abs=1e-12)
+    assert pagerank(graph, max_iter=1).where("converged").isEmpty()
+
+
 def test_betweenness_by_joins(spark, randoms):
     """Graphs of more arcs than a task gets: one join per level."""
     plain, tx = randoms
