@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from txgraph.operators import graph as G
 from txgraph.operators.betweenness import betweenness
 from txgraph.operators import betweenness as between_module
 from txgraph.operators import communities, triangles
+from txgraph.operators import core as core_module
 from txgraph.operators import pagerank as rank_module
 from txgraph.operators.communities import colour_rounds, greedy_colours, propagate_labels
 from txgraph.operators.components import component_sizes, connected_components
@@ -409,6 +412,58 @@ def test_betweenness_of_a_graph_beyond_the_dense_kernel(spark, monkeypatch):
         assert got[(0, n)] == pytest.approx(value, abs=1e-12)
 
 
+def test_betweenness_over_the_smaller_side(spark, monkeypatch):
+    """More than 512 nodes, few devices and merchants: no source runs its levels along all arcs."""
+    rows = random_rows(8, 900, 800, 25, 20)
+    plain, graph = Plain(rows), G.build_graph(one_graph(transactions(spark, rows)))
+    assert len(plain.nodes) > G.KERNEL_NODES
+
+    def never(*_):
+        raise AssertionError("levels along the arcs")
+
+    for name in ("_along_arcs", "_by_levels"):
+        monkeypatch.setattr(between_module, name, never)
+    # Several blocks of sources, each with a part of the sums.
+    monkeypatch.setattr(between_module, "CORE_VISITS", 500_000)
+    got, want = by_id(graph, betweenness(graph), "betweenness"), plain.between(plain.nodes, 1.0)
+    assert got.keys() == {(0, n) for n in want}
+    for n, value in want.items():
+        assert got[(0, n)] == pytest.approx(value, abs=1e-12)
+
+
+@pytest.mark.parametrize("chunk, width", [(512, 64), (3, 2)])
+def test_core_against_dense_sources(monkeypatch, chunk, width):
+    """Many shapes: leaves alike, wide leaves, several components, either side the smaller one."""
+    monkeypatch.setattr(core_module, "CHUNK", chunk)
+    monkeypatch.setattr(core_module, "WIDTH", width)
+    rng = np.random.default_rng(4)
+    for _ in range(25):
+        ones, others, m = rng.integers(1, 60), rng.integers(1, 60), rng.integers(1, 150)
+        pairs = np.unique(np.stack([rng.integers(0, ones, m), rng.integers(0, others, m)]), axis=1)
+        a, b = (np.unique(side, return_inverse=True)[1] for side in pairs)
+        first, n = a.max() + 1, a.max() + b.max() + 2
+        arcs = {"graph_id": 0, "size": n, "src": np.append(a, b + first), "dst": np.append(b + first, a)}
+        want = between_module._all_sources(pd.DataFrame(arcs))["betweenness"].to_numpy() * max(1, (n - 1) * (n - 2))
+        got = [core_module.betweenness_sums(a, b, part, 3) for part in range(3)]
+        got = np.concatenate([sum(side) for side in zip(*got, strict=True)])
+        assert np.allclose(got, want, rtol=1e-11, atol=1e-9)
+
+
+def test_long_chains_and_wide_cores_go_along_the_arcs(spark, monkeypatch):
+    """Distances beyond a double's exponent, or a core beyond its bound."""
+    chain = np.arange(60)
+    ends = np.append(chain, chain), np.append(chain, chain + 1)
+    assert core_module.betweenness_sums(*ends) is None
+    rows = [(f"T{i}{d}", f"A{i}", f"D{i + d}", "M" if i == 0 else f"M{i}", 1.0) for i in range(60) for d in (0, 1)]
+    plain, graph = Plain(rows), G.build_graph(one_graph(transactions(spark, rows)))
+    want = plain.between(plain.nodes, 1.0)
+    for core in (core_module.CORE_NODES, 5):
+        monkeypatch.setattr(between_module, "CORE_NODES", core)
+        got = by_id(graph, betweenness(graph, kernel_nodes=0), "betweenness")
+        for n, value in want.items():
+            assert got[(0, n)] == pytest.approx(value, abs=1e-12)
+
+
 @pytest.mark.parametrize("hub_degree", [10**9, 15])
 def test_ranks_of_a_graph_beyond_the_dense_kernel(spark, monkeypatch, hub_degree):
     """More than 512 nodes: along the edges in one task, without a join per iteration."""
